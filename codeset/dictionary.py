@@ -8,6 +8,7 @@ The four tables below are the default.  Every operator takes a
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -308,6 +309,16 @@ def dict_conflicts(pairs: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+def one_of(column: str, values: Sequence[str]) -> Column:
+    """True where the column holds one of the values.
+
+    As SQL text: ``isin`` costs a JVM call per value.
+    """
+    escaped = (v.replace("\\", "\\\\").replace("'", "\\'") for v in values)
+    literals = ", ".join(f"'{v}'" for v in escaped)
+    return F.expr(f"{column} IN ({literals})")
+
+
 def known_language(column: str, dictionary: Dictionary) -> Column:
     """True where the column holds a language of the dictionary."""
-    return F.col(column).isin(dictionary.languages)
+    return one_of(column, dictionary.languages)

@@ -61,11 +61,18 @@ def resolve_language(files: DataFrame, dictionary: Dictionary) -> DataFrame:
 
 
 def usable_files(files: DataFrame, dictionary: Dictionary) -> DataFrame:
-    """Non-empty files of a known language; directories are left out."""
-    listed = files.where(
-        (F.col("dedup_key") != EMPTY_BLOB) & ~F.col("filename").endswith("/")
+    """Non-empty files of a known language; directories are left out.
+
+    All conditions act on the resolved language.  As a filter of its own, the
+    one on the key would be pushed below the projection that makes the key,
+    and a key hashed from content would be hashed twice.
+    """
+    listed = (F.col("dedup_key") != EMPTY_BLOB) & ~F.col("filename").endswith("/")
+    return (
+        resolve_language(files, dictionary)
+        .withColumn("language", F.when(listed, F.col("language")))
+        .where(F.col("language").isNotNull())
     )
-    return resolve_language(listed, dictionary).where(F.col("language").isNotNull())
 
 
 def rank_files(

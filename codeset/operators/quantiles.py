@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codeset.operators.ranking import slice_totals
+from codeset.session import land
 
 SLICES_PER_DOUBLING = 128  # of the odds; about 12,800 slices in all
 WHISKER_REACH = 1.5  # box-plot whiskers reach this many quartile ranges
@@ -26,13 +27,18 @@ def probability_slice(prob: str | Column) -> Column:
 def value_counts(
     probs: DataFrame, group: Sequence[str], value: str = "prob"
 ) -> DataFrame:
-    """Count equal values, before the shuffle as far as possible."""
-    return (
+    """Equal values counted, landed.
+
+    The table is read once, and rows are combined before the shuffle as far as
+    values repeat.
+    """
+    counts = (
         probs.where(F.col(value).isNotNull() & ~F.isnan(value))
         .groupBy(*group, F.col(value).alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("_slice", probability_slice("value"))
     )
+    return land(counts, "value_counts")
 
 
 def quantiles(
@@ -124,17 +130,16 @@ def box_stats(probs: DataFrame) -> DataFrame:
         F.col("quantiles")[2].alias("q3"),
     )
     reach = (F.col("q3") - F.col("q1")) * WHISKER_REACH
-    whiskers = (
+    return (
         counts.join(boxes, group)
         .where(F.col("value").between(F.col("q1") - reach, F.col("q3") + reach))
         .groupBy(*group)
-        .agg(F.min("value").alias("_low"), F.max("value").alias("_high"))
-    )
-    return boxes.join(whiskers, group).select(
-        *group,
-        "q1",
-        "median",
-        "q3",
-        F.least("_low", "q1").alias("whisker_low"),
-        F.greatest("_high", "q3").alias("whisker_high"),
+        .agg(
+            *[F.max(c).alias(c) for c in ("q1", "median", "q3")],
+            F.min("value").alias("_low"),
+            F.max("value").alias("_high"),
+        )
+        .withColumn("whisker_low", F.least("_low", "q1"))
+        .withColumn("whisker_high", F.greatest("_high", "q3"))
+        .drop("_low", "_high")
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from codeset.dictionary import Dictionary
+from codeset.dictionary import Dictionary, known_language
 from codeset.functions.order import DEFAULT_SEED, shuffle_key, slice_of
 from codeset.operators.ranking import first_n, slice_totals
 from codeset.operators.splits import USAGES, Quotas
@@ -84,7 +84,7 @@ def quota_cuts(
     rows per language.  Counts per (rank, name slice) find the slice that holds
     the cut, and only that slice is sorted, so no task sees a whole group.
     """
-    known = F.col("language").isin(dictionary.languages)
+    known = known_language("language", dictionary)
     done = (
         files.where(known & (F.col("status") == EXTRACTED))
         .groupBy(*_GROUP)
@@ -116,7 +116,7 @@ def quota_cuts(
             F.col("extract_to").alias("cut_name"),
         )
     )
-    return needs.join(cuts, _GROUP, "left")
+    return needs.join(F.broadcast(cuts), _GROUP, "left")
 
 
 def apply_cuts(files: DataFrame, cuts: DataFrame) -> DataFrame:

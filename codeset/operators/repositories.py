@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codeset.dictionary import Dictionary, known_language
+from codeset.dictionary import Dictionary, known_language, one_of
 from codeset.functions.naming import (
     is_full_name,
     repository_dirname,
@@ -136,7 +136,7 @@ def _unknown_names(candidates: DataFrame, known: DataFrame) -> DataFrame:
 def _known_counts(known: DataFrame, languages: Sequence[str]) -> DataFrame:
     """(language, known): one row per requested language that has any."""
     return (
-        known.where(F.col("repository_language").isin(list(languages)))
+        known.where(one_of("repository_language", languages))
         .groupBy(F.col("repository_language").alias("language"))
         .agg(F.count(F.lit(1)).alias("known"))
     )
@@ -156,7 +156,7 @@ def select_more(
     """
     check_languages(languages, dictionary)
     fresh = _unknown_names(candidates, known).where(
-        F.col("repository_language").isin(list(languages))
+        one_of("repository_language", languages)
     )
     shuffled = fresh.withColumn("_h", shuffle_key("repository_name", seed=seed))
     nearest = first_n(
@@ -184,14 +184,14 @@ def topup_report(
     check_languages(languages, dictionary)
     pending = (
         _unknown_names(candidates, known)
-        .where(F.col("repository_language").isin(list(languages)))
+        .where(one_of("repository_language", languages))
         .groupBy(F.col("repository_language").alias("language"))
         .agg(F.count(F.lit(1)).alias("pending"))
     )
     zero, limit = F.lit(0).cast("bigint"), F.lit(cap).cast("bigint")
     return (
         dictionary.languages_df(candidates.sparkSession)
-        .where(F.col("language").isin(list(languages)))
+        .where(one_of("language", languages))
         .select("language")
         .join(pending, "language", "left")
         .join(_known_counts(known, languages), "language", "left")

@@ -57,9 +57,13 @@ def unique_files(files: DataFrame, settings: Settings) -> DataFrame:
 
 
 def with_usage(files: DataFrame, settings: Settings) -> DataFrame:
-    """Unique files with the usage of their repository."""
+    """Unique files with the usage of their repository.
+
+    The cuts are landed, at most one row per language, so that the files need
+    not be written again to be scanned several times.
+    """
     cuts = split_cuts(files, settings.dictionary, settings.quotas, settings.seed)
-    return assign_usage(files, cuts, settings.seed)
+    return assign_usage(files, land(cuts, "split_cuts"), settings.seed)
 
 
 def choose_files(
@@ -69,7 +73,7 @@ def choose_files(
     outputs: DataFrame | None = None,
 ) -> DataFrame:
     """Listed files with an ``ok`` flag to files with usage and status."""
-    plan = land(with_usage(unique_files(files, settings), settings), "files_split")
+    plan = with_usage(unique_files(files, settings), settings)
     if prior is not None or outputs is not None:
         plan = land(reconcile(plan, prior, outputs), "files_reconciled")
     return select_quota(plan, settings.dictionary, settings.quotas)

@@ -60,7 +60,7 @@ def unique(spark, sf_dir):
 
 
 def planned(spark, sf_dir):
-    return land(with_usage(unique(spark, sf_dir), SETTINGS), "planned")
+    return with_usage(unique(spark, sf_dir), SETTINGS)
 
 
 def extracted(spark, sf_dir):
@@ -341,7 +341,9 @@ def status_totals(spark, sf_dir):
 @query
 def dataset_texts(spark, sf_dir):
     """Fetch the chosen files' bytes and decode them."""
-    chosen = extracted(spark, sf_dir).where(F.col("status") == quota_ops.EXTRACTED)
+    chosen = land(extracted(spark, sf_dir), "extracted").where(
+        F.col("status") == quota_ops.EXTRACTED
+    )
     contents = views.file_bytes(spark, sf_dir)
     rows = decode_files(
         quota_ops.chosen_content(chosen.drop("ok"), contents, QUOTAS, DICTIONARY)
