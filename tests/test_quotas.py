@@ -1,0 +1,157 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from codeset.operators import quotas as ops
+from codeset.operators.splits import Quotas
+from helpers import rows
+
+FILES = (
+    "language string, usage string, rank int, extract_to string, "
+    "ok boolean, status string"
+)
+
+
+def loop(files, quotas):
+    """Take files in order, round after round, until the quota is met."""
+    status = {f[3]: f[5] for f in files}
+    for language in {f[0] for f in files}:
+        for usage in ("train", "valid", "test"):
+            group = sorted(
+                (f for f in files if f[:2] == (language, usage)),
+                key=lambda f: (f[2], f[3]),
+            )
+            while True:
+                done = sum(status[f[3]] == ops.EXTRACTED for f in group)
+                need = max(getattr(quotas, usage) - done, 0)
+                taken = [f for f in group if status[f[3]] == ops.PENDING][:need]
+                if not taken:
+                    break
+                for f in taken:
+                    status[f[3]] = ops.EXTRACTED if f[4] else ops.DISCARDED
+    return status
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_select_equals_the_loop(spark, dictionary, seed):
+    draw = random.Random(seed)
+    quotas = Quotas(draw.choice([0, 5, 20]), draw.choice([1, 8]), draw.choice([0, 3, 100]))
+    files = []
+    for i in range(600):
+        old = draw.choice(["PENDING"] * 8 + ["EXTRACTED", "DISCARDED"])
+        files.append(
+            (
+                draw.choice(["C", "C", "C", "Go", "Rust"]),
+                draw.choice(["train", "train", "valid", "test"]),
+                draw.randint(1, 6),
+                f"{draw.getrandbits(64):016x}{i}",
+                draw.random() < [0.0, 0.3, 0.7, 0.9][seed],
+                old,
+            )
+        )
+    df = spark.createDataFrame(files, FILES).repartition(7)
+    found = dict(rows(ops.select_quota(df, dictionary, quotas), "extract_to", "status"))
+    assert found == loop(files, quotas)
+
+
+def simple(spark, oks, start_status="PENDING"):
+    return spark.createDataFrame(
+        [("C", "train", i, f"n{i}", ok, start_status) for i, ok in enumerate(oks)], FILES
+    )
+
+
+def outcome(spark, dictionary, df, quota):
+    found = ops.select_quota(df, dictionary, Quotas(quota, 1, 1))
+    return "".join(r[1][0] for r in rows(found, "rank", "status"))
+
+
+def test_cut_cases(spark, dictionary):
+    yes, no = True, False
+    cases = [
+        ([yes, yes], 0, "PP"),
+        ([no, no, no], 2, "DDD"),
+        ([yes, no], 5, "ED"),
+        ([yes, no, yes, no, yes], 2, "EDEPP"),
+        ([yes, yes, no, yes], 2, "EEPP"),
+    ]
+    for oks, quota, wanted in cases:
+        assert outcome(spark, dictionary, simple(spark, oks), quota) == wanted
+
+
+def test_enough_extracted_before(spark, dictionary):
+    done = simple(spark, [True] * 3, "EXTRACTED")
+    more = spark.createDataFrame([("C", "train", 9, "z", True, "PENDING")], FILES)
+    found = ops.select_quota(done.unionByName(more), dictionary, Quotas(3, 1, 1))
+    assert rows(found.where("extract_to = 'z'"), "status") == [("PENDING",)]
+
+
+def test_reconcile(spark):
+    plan = spark.createDataFrame(
+        [("C", "train", 1, "a", True), ("C", "train", 2, "b", True), ("C", "train", 3, "c", True)],
+        "language string, usage string, rank int, extract_to string, ok boolean",
+    )
+    prior = spark.createDataFrame(
+        [("C", "train", 1, "a", "EXTRACTED"), ("Go", "test", 1, "old", "DISCARDED")],
+        "language string, usage string, rank int, extract_to string, status string",
+    )
+    outputs = spark.createDataFrame(
+        [("train", "b"), ("valid", "c")], "usage string, extract_to string"
+    )
+    found = ops.reconcile(plan, prior, outputs)
+    assert rows(found, "extract_to", "language", "status") == [
+        ("a", "C", "EXTRACTED"),
+        ("b", "C", "EXTRACTED"),
+        ("c", "C", "PENDING"),
+        ("old", "Go", "DISCARDED"),
+    ]
+    strict = ops.reconcile(plan, prior, outputs, found_status=ops.DISCARDED)
+    assert rows(strict.where("extract_to = 'b'"), "status") == [("DISCARDED",)]
+
+
+def test_update_status(spark):
+    files = simple(spark, [True, True])
+    results = spark.createDataFrame([("n1", "DISCARDED")], "extract_to string, status string")
+    assert rows(ops.update_status(files, results), "extract_to", "status") == [
+        ("n0", "PENDING"),
+        ("n1", "DISCARDED"),
+    ]
+
+
+def test_report_and_totals(spark, dictionary):
+    files = simple(spark, [True] * 4).unionByName(simple(spark, [True] * 2, "EXTRACTED"))
+    report = ops.quota_report(files, dictionary, Quotas(8, 1, 1))
+    found = {r[:2]: r[2:] for r in rows(report)}
+    assert len(found) == 162
+    assert found["C", "train"] == (4, 2, 6, 4, True)
+    assert found["Go", "test"] == (0, 0, 1, 0, True)
+    assert rows(ops.status_totals(files)) == [("EXTRACTED", 2), ("PENDING", 4)]
+
+
+@pytest.mark.parametrize("limit", [ops.MAX_BROADCAST_FILES, 0])
+def test_chosen_content(spark, dictionary, monkeypatch, limit):
+    monkeypatch.setattr(ops, "MAX_BROADCAST_FILES", limit)
+    contents = spark.range(50).select(
+        F.lit("r").alias("repository_dirname"),
+        F.concat(F.lit("f"), "id").alias("filename"),
+        F.encode(F.concat(F.lit("text "), "id"), "UTF-8").alias("content"),
+    )
+    chosen = spark.createDataFrame(
+        [("r", "f3", "x"), ("r", "f7", "y"), ("r", "gone", "z")],
+        "repository_dirname string, filename string, extract_to string",
+    )
+    found = ops.chosen_content(chosen, contents, Quotas(1, 1, 1), dictionary)
+    assert rows(found, "extract_to", "content") == [
+        ("x", bytearray(b"text 3")),
+        ("y", bytearray(b"text 7")),
+    ]
+
+
+def test_subset(spark, dictionary):
+    names = spark.range(40).select(
+        F.concat("id", F.when(F.col("id") < 35, ".py").otherwise(".go")).alias("name")
+    )
+    found = ops.subset_training(names, dictionary, 10)
+    counts = {r[0]: r[1] for r in rows(found.groupBy("language").count())}
+    assert counts == {"Python": 10, "Go": 5}
+    assert rows(ops.subset_training(names.repartition(9), dictionary, 10)) == rows(found)

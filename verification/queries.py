@@ -502,23 +502,19 @@ def report_medians(spark, sf_dir):
     )
 
 
-def vowel_scorer():
-    """A stand-in model: the share of a few letters in the text."""
+@query
+def score_files(spark, sf_dir):
+    """Score with a stand-in model: the share of a few letters in the text."""
 
-    def score(texts):
-        return [
+    def letter_scorer():
+        return lambda texts: [
             {c: text.count(c) / max(len(text), 1) for c in "aeio"} for text in texts
         ]
 
-    return score
-
-
-@query
-def score_files(spark, sf_dir):
     docs = views.table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("name"), F.col("lang").alias("label"), "text"
     )
-    scores = evaluation.score_files(docs, vowel_scorer)
+    scores = evaluation.score_files(docs, letter_scorer)
     return evaluation.long_probabilities(scores, "name").select(
         "name", "label", "class", F.round("prob", 9).alias("prob")
     )
