@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -190,7 +191,7 @@ ALIASES = {
 MAX_ENTRIES = 100_000
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Dictionary:
     """Languages in order, each with its primary extension and its names."""
 
@@ -222,7 +223,9 @@ class Dictionary:
         return list(self.primary)
 
     # The frames below have at most MAX_ENTRIES rows, so joins broadcast them.
+    # They are made once per session.
 
+    @cache
     def languages_df(self, spark: SparkSession) -> DataFrame:
         """(language, position, primary_ext), one row per language."""
         rows = [(l, i, e) for i, (l, e) in enumerate(self.primary.items())]
@@ -230,22 +233,27 @@ class Dictionary:
             spark, rows, "language string, position int, primary_ext string"
         )
 
+    @cache
     def aliases_df(self, spark: SparkSession) -> DataFrame:
         """(value, language) of every alias."""
         return _pairs(spark, self.aliases)
 
+    @cache
     def extensions_df(self, spark: SparkSession) -> DataFrame:
         """(value, language) of every extension, ambiguous ones repeated."""
         return _pairs(spark, self.extensions)
 
+    @cache
     def file_names_df(self, spark: SparkSession) -> DataFrame:
         """(value, language) of every exact file name."""
         return _pairs(spark, self.file_names)
 
+    @cache
     def extension_owners_df(self, spark: SparkSession) -> DataFrame:
         """(value, owners array), one row per extension."""
         return _owner_rows(spark, self.extensions)
 
+    @cache
     def file_name_owners_df(self, spark: SparkSession) -> DataFrame:
         """(value, owners array), one row per exact file name."""
         return _owner_rows(spark, self.file_names)

@@ -14,6 +14,7 @@ from codeset.functions.naming import (
 )
 from codeset.functions.order import DEFAULT_SEED, shuffle_key
 from codeset.operators.ranking import first_n
+from codeset.operators.repositories import present_dirs
 
 # Fixed value: files of one language taken from one repository.
 FILES_PER_REPOSITORY = 1000
@@ -138,22 +139,22 @@ def new_repositories(repos: DataFrame, ledger: DataFrame) -> DataFrame:
 
     The ledger names every processed repository, also those without files.
     """
-    return repos.join(
-        ledger.select("repository_dirname"), "repository_dirname", "left_anti"
-    )
+    return repos.join(present_dirs(ledger), "repository_dirname", "left_anti")
 
 
 def surviving_files(files: DataFrame, repos: DataFrame) -> DataFrame:
-    """Listed files whose repository still exists."""
-    return files.join(
-        repos.select("repository_dirname"), "repository_dirname", "left_semi"
-    )
+    """Listed files whose repository still exists.
+
+    The files of a hot repository may end in one partition of the join, which
+    adaptive execution splits (a semi join may split its left side).
+    """
+    return files.join(present_dirs(repos), "repository_dirname", "left_semi")
 
 
 def removal_report(files: DataFrame, repos: DataFrame) -> DataFrame:
     """One row: repositories listed before, after, and removed."""
-    kept = repos.select("repository_dirname").distinct().withColumn("_kept", F.lit(1))
-    listed = files.select("repository_dirname").distinct()
+    kept = present_dirs(repos).withColumn("_kept", F.lit(1))
+    listed = present_dirs(files)
     return (
         listed.join(kept, "repository_dirname", "left")
         .agg(F.count(F.lit(1)).alias("n_before"), F.count("_kept").alias("n_after"))

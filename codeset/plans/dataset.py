@@ -26,7 +26,7 @@ from codeset.operators.repositories import (
     shrink,
 )
 from codeset.operators.splits import Quotas, assign_usage, split_cuts
-from codeset.session import land
+from codeset.session import broadcast_if_small, land
 
 
 @dataclass(frozen=True)
@@ -101,9 +101,9 @@ def build_dataset(
     repository_dirname, filename, content.
     """
     facts = describe_contents(contents)
-    # A repository may hold a third of the files; the join is skew-safe since
-    # it is an inner join that adaptive execution may split.
-    listed = facts.join(repos, "repository_dirname")
+    # A repository may hold a third of the files, so they are not shuffled by
+    # repository unless there are too many repositories to broadcast.
+    listed = facts.join(broadcast_if_small(repos), "repository_dirname")
     files = land(choose_files(listed, settings, prior), "files_extracted")
     chosen = files.where(files.status == EXTRACTED).drop("ok")
     texts = decode_files(

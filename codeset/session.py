@@ -7,6 +7,7 @@ import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -60,6 +61,20 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+MAX_BROADCAST_ROWS = 1_000_000  # narrow rows of a name and a language
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Mark a stored table for broadcast if a count shows that it is small.
+
+    A larger one is returned as it is: its joins shuffle both sides, and
+    adaptive execution splits the hot keys.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
+
+
 def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A DataFrame of a few driver-side rows, planned as a local relation."""
     struct = T.StructType.fromDDL(schema)

@@ -96,11 +96,12 @@ def repo_list_from_pages(
 
 
 def read_file_listings(spark: SparkSession, path: str) -> DataFrame:
-    """Listing lines of text files named after their repository."""
+    """Listing lines, one text file or one partition folder per repository."""
+    lines = spark.read.text(path)
     name = F.regexp_replace("_metadata.file_name", r"\.txt$", "")
-    return spark.read.text(path).select(
-        name.alias("repository_dirname"), F.col("value").alias("line")
-    )
+    if "repository_dirname" in lines.columns:
+        name = F.col("repository_dirname")
+    return lines.select(name.alias("repository_dirname"), F.col("value").alias("line"))
 
 
 def read_contents(spark: SparkSession, root: str) -> DataFrame:

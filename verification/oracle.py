@@ -58,6 +58,54 @@ EXTENSION = r"lower(regexp_extract(split_part(filename, '/', -1), '(?s)^.+\.([^.
 TEST_RATIO = QUOTAS.ratio("test")
 VALID_RATIO = QUOTAS.ratio("valid")
 
+def _chain(p: str, files: str, quotas: Quotas) -> dict[str, str]:
+    """From listed files to their status; ``p`` starts the tables' names."""
+    return {
+        f"{p}resolved": f"""
+            SELECT f.*, coalesce(
+                CASE WHEN len(n.owners) = 1 THEN n.owners[1]
+                     WHEN list_contains(n.owners, repository_language)
+                     THEN repository_language END,
+                CASE WHEN len(e.owners) = 1 THEN e.owners[1]
+                     WHEN list_contains(e.owners, repository_language)
+                     THEN repository_language END) AS language
+            FROM {files} f
+            LEFT JOIN name_owners n ON n.value = split_part(filename, '/', -1)
+            LEFT JOIN ext_owners e ON e.value = {EXTENSION}""",
+        f"{p}usable": f"""
+            SELECT * FROM {p}resolved WHERE language IS NOT NULL
+              AND dedup_key <> 'e69de29bb2d1d6434b8b29ae775ad8c2e48c5391'
+              AND filename NOT LIKE '%/'""",
+        f"{p}ranked": f"""
+            SELECT u.*, CAST(row_number() OVER (PARTITION BY repository_dirname, u.language
+                  ORDER BY md5('0:' || repository_dirname || ':' || filename),
+                    filename, dedup_key) AS INTEGER) AS rank,
+              sha1(repository_dirname || '//' || filename || '//' || dedup_key)
+                || '.' || primary_ext AS extract_to
+            FROM {p}usable u JOIN languages USING (language)
+            QUALIFY rank <= 1000""",
+        f"{p}dedup": f"""
+            SELECT * FROM {p}ranked QUALIFY row_number() OVER (
+                PARTITION BY dedup_key ORDER BY repository_dirname, filename) = 1""",
+        f"{p}splits": f"""
+            SELECT repository_language, repository_dirname, CASE
+                WHEN rn <= nt THEN 'test' WHEN rn <= nt + nv THEN 'valid'
+                ELSE 'train' END AS usage
+            FROM (SELECT *,
+                greatest(floor(total * {TEST_RATIO!r}::DOUBLE), 1) AS nt,
+                greatest(floor(total * {VALID_RATIO!r}::DOUBLE), 1) AS nv
+              FROM (SELECT *, count(*) OVER (PARTITION BY repository_language) AS total,
+                  row_number() OVER (PARTITION BY repository_language
+                    ORDER BY md5('0:' || repository_dirname), repository_dirname) AS rn
+                FROM (SELECT DISTINCT repository_language, repository_dirname FROM {p}dedup)))""",
+        f"{p}planned": f"""
+            SELECT d.*, usage FROM {p}dedup d
+            JOIN {p}splits USING (repository_language, repository_dirname)""",
+        f"{p}fresh": f"SELECT *, 'PENDING' AS status FROM {p}planned",
+        f"{p}extracted": _status(quotas, f"{p}fresh"),
+    }
+
+
 CTES = {
     **_dictionary(DICTIONARY),
     "catalog": """
@@ -125,48 +173,18 @@ CTES = {
           n_chars % 5 <> 0 AS ok
         FROM documents""",
     "files": f"SELECT * EXCLUDE (text), {CONTENT_KEY} AS dedup_key FROM docs",
-    "resolved": f"""
-        SELECT f.*, coalesce(
-            CASE WHEN len(n.owners) = 1 THEN n.owners[1]
-                 WHEN list_contains(n.owners, repository_language)
-                 THEN repository_language END,
-            CASE WHEN len(e.owners) = 1 THEN e.owners[1]
-                 WHEN list_contains(e.owners, repository_language)
-                 THEN repository_language END) AS language
-        FROM files f
-        LEFT JOIN name_owners n ON n.value = split_part(filename, '/', -1)
-        LEFT JOIN ext_owners e ON e.value = {EXTENSION}""",
-    "usable": """
-        SELECT * FROM resolved WHERE language IS NOT NULL
-          AND dedup_key <> 'e69de29bb2d1d6434b8b29ae775ad8c2e48c5391'
-          AND filename NOT LIKE '%/'""",
-    "ranked": """
-        SELECT u.*, CAST(row_number() OVER (PARTITION BY repository_dirname, u.language
-              ORDER BY md5('0:' || repository_dirname || ':' || filename),
-                filename, dedup_key) AS INTEGER) AS rank,
-          sha1(repository_dirname || '//' || filename || '//' || dedup_key)
-            || '.' || primary_ext AS extract_to
-        FROM usable u JOIN languages USING (language)
-        QUALIFY rank <= 1000""",
-    "dedup": """
-        SELECT * FROM ranked QUALIFY row_number() OVER (
-            PARTITION BY dedup_key ORDER BY repository_dirname, filename) = 1""",
-    "splits": f"""
-        SELECT repository_language, repository_dirname, CASE
-            WHEN rn <= nt THEN 'test' WHEN rn <= nt + nv THEN 'valid'
-            ELSE 'train' END AS usage
-        FROM (SELECT *,
-            greatest(floor(total * {TEST_RATIO!r}::DOUBLE), 1) AS nt,
-            greatest(floor(total * {VALID_RATIO!r}::DOUBLE), 1) AS nv
-          FROM (SELECT *, count(*) OVER (PARTITION BY repository_language) AS total,
-              row_number() OVER (PARTITION BY repository_language
-                ORDER BY md5('0:' || repository_dirname), repository_dirname) AS rn
-            FROM (SELECT DISTINCT repository_language, repository_dirname FROM dedup)))""",
-    "planned": """
-        SELECT d.*, usage FROM dedup d
-        JOIN splits USING (repository_language, repository_dirname)""",
-    "fresh": "SELECT *, 'PENDING' AS status FROM planned",
-    "extracted": _status(QUOTAS, "fresh"),
+    **_chain("", "files", QUOTAS),
+    "listing": """
+        SELECT 's' || l_suppkey || '___r' || l_linestatus AS repository_dirname,
+          CASE l_linestatus WHEN 'O' THEN 'C' ELSE 'Python' END AS repository_language,
+          'src/o' || l_orderkey || '/p' || l_partkey || '/l' || l_linenumber
+            || CASE l_linenumber WHEN 1 THEN '.c' WHEN 2 THEN '.h' WHEN 3 THEN '.py'
+               WHEN 4 THEN '.go' WHEN 5 THEN '.rs' WHEN 6 THEN '.pl'
+               ELSE '.txt' END AS filename,
+          sha1(l_partkey || ':' || l_linenumber) AS dedup_key,
+          sha1(l_partkey || ':' || l_linenumber) < 'e' AS ok
+        FROM lineitem""",
+    **_chain("listing_", "listing", views.LISTING_QUOTAS),
     "first_run": _status(SMALL_QUOTAS, "fresh"),
     "resumed": """
         SELECT * EXCLUDE (status, need, cum), CASE
@@ -333,11 +351,19 @@ _SQL = {
     "non_empty_repositories": """
         SELECT repository_language, repository_dirname FROM prepared
         WHERE repository_dirname IN (SELECT repository_dirname FROM visited)""",
+    "malformed_names": """
+        SELECT url AS repository_name, 'HTML' AS repository_language FROM pages
+        WHERE length(url) - length(replace(url, '/', '')) <> 1""",
+    "dirname_collisions": """
+        SELECT 'u' || l_orderkey || '___x___y' AS repository_dirname,
+          count(DISTINCT l_linestatus = 'O') AS n_repositories
+        FROM lineitem GROUP BY l_orderkey HAVING count(DISTINCT l_linestatus = 'O') > 1""",
     "repo_list_from_pages": """
         SELECT 'user/proj' || o_orderkey AS repository_name, 'Go' AS repository_language
         FROM orders QUALIFY row_number() OVER (
             PARTITION BY o_custkey ORDER BY o_orderkey) = 1""",
     "parse_file_listing": "SELECT repository_dirname, filename, dedup_key FROM files",
+    "read_file_listings": "SELECT repository_dirname, filename, dedup_key FROM files",
     "file_content_key": f"SELECT doc_id, {CONTENT_KEY} AS dedup_key FROM documents",
     "resolve_language": "SELECT repository_dirname, filename, language FROM resolved",
     "usable_files": """
@@ -346,6 +372,12 @@ _SQL = {
     "new_repositories": """
         SELECT repository_dirname, repository_language FROM prepared
         WHERE repository_dirname NOT IN (SELECT repository_dirname FROM visited)""",
+    "incremental_listing": """
+        SELECT repository_dirname, 'first' AS batch
+        FROM (SELECT DISTINCT repository_dirname FROM visited)
+        UNION ALL
+        SELECT repository_dirname, 'second' AS batch FROM prepared
+        WHERE repository_dirname NOT IN (SELECT repository_dirname FROM visited)""",
     "surviving_files": """
         SELECT repository_dirname, filename FROM visited
         WHERE repository_dirname IN (SELECT repository_dirname FROM prepared)""",
@@ -486,9 +518,19 @@ _SQL = {
         SELECT u.language, dedup_key || '.' || {EXTENSION} AS extract_to
         FROM usable u JOIN languages USING (language)
         WHERE {EXTENSION} <> primary_ext""",
+    "listing_rank": """
+        SELECT extract_to, language, repository_dirname, rank FROM listing_ranked""",
+    "listing_dedup": "SELECT extract_to, dedup_key, rank FROM listing_dedup",
+    "listing_status": "SELECT extract_to, usage, status FROM listing_extracted",
+    "listing_summary": """
+        SELECT language, usage, status, count(*) AS n_files
+        FROM listing_extracted GROUP BY ALL""",
     "dataset_summary": """
         SELECT language, usage, status, count(*) AS n_files
         FROM extracted GROUP BY ALL""",
 }
 
+_SQL["versioned_selection"] = _SQL["select_more"]
+_SQL["report_csv"] = _SQL["prediction_report"]
+
 ORACLE_SQL = {name: _with(sql) for name, sql in _SQL.items()}

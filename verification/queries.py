@@ -79,6 +79,12 @@ def counts(spark, sf_dir):
     return evaluation.confusion_counts(views.predictions(spark, sf_dir))
 
 
+def listing_files(spark, sf_dir):
+    """The listed files with usage, and the status after one run."""
+    plan = with_usage(unique_files(views.listing(spark, sf_dir), SETTINGS), SETTINGS)
+    return quota_ops.select_quota(plan, DICTIONARY, views.LISTING_QUOTAS)
+
+
 # Repositories
 
 
@@ -183,6 +189,44 @@ def non_empty_repositories(spark, sf_dir):
     )
 
 
+@query
+def malformed_names(spark, sf_dir):
+    """Page addresses given as repository names."""
+    repos = views.table(spark, sf_dir, "pages").selectExpr(
+        "url AS repository_name", "'HTML' AS repository_language"
+    )
+    return repo_ops.malformed_names(repos)
+
+
+@query
+def dirname_collisions(spark, sf_dir):
+    """Names whose parts meet in one directory name."""
+    repos = views.table(spark, sf_dir, "lineitem").selectExpr(
+        """CASE l_linestatus WHEN 'O' THEN concat('u', l_orderkey, '___x/y')
+           ELSE concat('u', l_orderkey, '/x___y') END AS repository_name""",
+        "'C' AS repository_language",
+    )
+    unique_names = repo_ops.merge_repo_lists(repos)
+    return repo_ops.dirname_collisions(repo_ops.prepare_repositories(unique_names))
+
+
+@query
+def versioned_selection(spark, sf_dir):
+    """Top up a selection as a new version, then read the newest one."""
+    root = new_path(spark, "selection")
+    known = views.curated(spark, sf_dir)
+    writers.write_versioned(known, root, "selected")
+    more = repo_ops.select_more(
+        altered(spark, sf_dir),
+        readers.read_versioned(spark, root, "selected"),
+        views.TOPUP_LANGUAGES,
+        DICTIONARY,
+        views.TOPUP_CAP,
+    )
+    writers.write_versioned(more, root, "selected")
+    return readers.read_versioned(spark, root, "selected")
+
+
 @query
 def repo_list_from_pages(spark, sf_dir):
     """Orders as JSON pages of 100 results; customer numbers repeat as ids."""
@@ -211,6 +255,15 @@ def parse_file_listing(spark, sf_dir):
     return file_ops.parse_file_listing(views.listing_lines(spark, sf_dir))
 
 
+@query
+def read_file_listings(spark, sf_dir):
+    """Write the listing lines by repository, then read and parse them."""
+    path = new_path(spark, "listings")
+    lines = views.listing_lines(spark, sf_dir)
+    lines.write.partitionBy("repository_dirname").text(path)
+    return file_ops.parse_file_listing(readers.read_file_listings(spark, path))
+
+
 @query
 def file_content_key(spark, sf_dir):
     docs = views.table(spark, sf_dir, "documents")
@@ -247,6 +300,21 @@ def new_repositories(spark, sf_dir):
     )
 
 
+@query
+def incremental_listing(spark, sf_dir):
+    """Add the repositories that were not listed yet, twice under one name."""
+    root = new_path(spark, "ledger")
+    earlier = repo_ops.present_dirs(views.visited(spark, sf_dir))
+    writers.append_batch(earlier, root, "listed", "first")
+    found = prepared(spark, sf_dir).select("repository_dirname")
+    ledger = land(readers.read_stage(spark, root, "listed"), "ledger")
+    for _ in range(2):
+        writers.append_batch(
+            file_ops.new_repositories(found, ledger), root, "listed", "second"
+        )
+    return readers.read_stage(spark, root, "listed")
+
+
 @query
 def surviving_files(spark, sf_dir):
     return file_ops.surviving_files(
@@ -371,7 +439,10 @@ def subset_training(spark, sf_dir):
     names = planned(spark, sf_dir).where("usage = 'train'").select(
         F.col("extract_to").alias("name")
     )
-    return quota_ops.subset_training(names, DICTIONARY, views.SUBSET)
+    subset = quota_ops.subset_training(names, DICTIONARY, views.SUBSET)
+    root = new_path(spark, "subset")
+    path = writers.write_training_subset(subset, root, views.SUBSET)
+    return spark.read.parquet(path)
 
 
 @query
@@ -490,6 +561,17 @@ def prediction_report(spark, sf_dir):
     )
 
 
+@query
+def report_csv(spark, sf_dir):
+    """Write the prediction report as CSV, then read it."""
+    report = evaluation.wide_report(
+        views.order_probabilities(spark, sf_dir), views.CLASSES
+    )
+    path = new_path(spark, "report-csv")
+    writers.write_report_csv(report, path)
+    return spark.read.schema(report.schema).csv(path, header=True, escape='"')
+
+
 @query
 def report_medians(spark, sf_dir):
     """A wide report turned back to rows, then its medians."""
@@ -589,3 +671,32 @@ def dataset_summary(spark, sf_dir):
         .groupBy("language", "usage", "status")
         .agg(F.count(F.lit(1)).alias("n_files"))
     )
+
+
+# The file chain over line items, which are many more than documents.
+
+
+@query
+def listing_rank(spark, sf_dir):
+    ranked = file_ops.rank_files(views.listing(spark, sf_dir), DICTIONARY)
+    return ranked.select("extract_to", "language", "repository_dirname", "rank")
+
+
+@query
+def listing_dedup(spark, sf_dir):
+    ranked = file_ops.rank_files(views.listing(spark, sf_dir), DICTIONARY)
+    return file_ops.dedup_files(ranked).select("extract_to", "dedup_key", "rank")
+
+
+@query
+def listing_status(spark, sf_dir):
+    return listing_files(spark, sf_dir).select("extract_to", "usage", "status")
+
+
+@query
+def listing_summary(spark, sf_dir):
+    return (
+        listing_files(spark, sf_dir)
+        .groupBy("language", "usage", "status")
+        .agg(F.count(F.lit(1)).alias("n_files"))
+    )

@@ -11,6 +11,7 @@ from codeset.plans.dataset import Settings
 
 SETTINGS = Settings(repositories=500, quotas=Quotas(train=40, valid=10, test=10))
 SMALL_QUOTAS = Quotas(train=20, valid=5, test=5)
+LISTING_QUOTAS = Quotas(train=300, valid=50, test=50)
 TOPUP_LANGUAGES = ["Python", "C", "Go", "Lisp", "SQL"]
 TOPUP_CAP = 600
 SUBSET = 25
@@ -82,6 +83,22 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.drop("text", "doc_id")
 
 
+def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as listed files: parts are contents that occur many times."""
+    items = table(spark, sf_dir, "lineitem").selectExpr(
+        "concat('s', l_suppkey, '___r', l_linestatus) AS repository_dirname",
+        """CASE l_linestatus WHEN 'O' THEN 'C' ELSE 'Python' END
+           AS repository_language""",
+        """concat('src/o', l_orderkey, '/p', l_partkey, '/l', l_linenumber,
+             CASE l_linenumber WHEN 1 THEN '.c' WHEN 2 THEN '.h' WHEN 3 THEN '.py'
+               WHEN 4 THEN '.go' WHEN 5 THEN '.rs' WHEN 6 THEN '.pl'
+               ELSE '.txt' END) AS filename""",
+        """sha1(encode(concat(l_partkey, ':', l_linenumber), 'UTF-8'))
+           AS dedup_key""",
+    )
+    return items.withColumn("ok", F.col("dedup_key") < "e")
+
+
 def listing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The files as the lines of a listing."""
     return files(spark, sf_dir).select(
