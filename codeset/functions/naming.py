@@ -28,12 +28,15 @@ def repository_url(name: str | Column) -> Column:
 
 def basename(path: str | Column) -> Column:
     """Last component of a path."""
-    return F.element_at(F.split(path, "/"), -1)
+    return F.substring_index(path, "/", -1)
 
 
 def extension(path: str | Column) -> Column:
     """Lower-case suffix without its dot; '' for none and for dot files."""
-    return F.lower(F.regexp_extract(basename(path), r"(?s)^.+\.([^.]+)$", 1))
+    name = basename(path)
+    suffix = F.substring_index(name, ".", -1)
+    before_dot = F.length(name) - F.length(suffix) - 1
+    return F.when(before_dot > 0, F.lower(suffix)).otherwise("")
 
 
 def content_key(content: str | Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from codeset.dictionary import Dictionary
@@ -13,7 +13,7 @@ from codeset.functions.naming import (
     output_name,
 )
 from codeset.functions.order import DEFAULT_SEED, shuffle_key
-from codeset.operators.ranking import first_n
+from codeset.operators.ranking import drop_surplus
 from codeset.operators.repositories import present_dirs
 
 # Fixed value: files of one language taken from one repository.
@@ -22,11 +22,15 @@ FILES_PER_REPOSITORY = 1000
 
 def parse_file_listing(lines: DataFrame) -> DataFrame:
     """Split ``mode type hash<TAB>path`` lines; shorter lines are left out."""
-    pattern = r"(?s)^\s*\S+\s+\S+\s+(\S+)\s+(\S|\S.*\S)\s*$"
-    return lines.where(F.rlike("line", F.lit(pattern))).select(
-        "repository_dirname",
-        F.regexp_extract("line", pattern, 2).alias("filename"),
-        F.regexp_extract("line", pattern, 1).alias("dedup_key"),
+    line = F.trim("line", F.lit(" \t\n\r\x0b\x0c"))
+    return (
+        lines.select("repository_dirname", F.split(line, r"\s+", 4).alias("_part"))
+        .where(F.size("_part") == 4)
+        .select(
+            "repository_dirname",
+            F.col("_part")[3].alias("filename"),
+            F.col("_part")[2].alias("dedup_key"),
+        )
     )
 
 
@@ -84,17 +88,20 @@ def rank_files(
 ) -> DataFrame:
     """Shuffle the usable files of each (repository, language) and number them.
 
-    ``rank`` counts from 1 to ``cap``; ``extract_to`` is the output name.
+    ``rank`` counts from 1 to ``cap``; ``extract_to`` is the output name.  The
+    files are scanned twice and shuffled once: give a stored table.
     """
+    group = ["repository_dirname", "language"]
     shuffled = usable_files(files, dictionary).withColumn(
         "_h", shuffle_key("repository_dirname", "filename", seed=seed)
     )
-    ranked = first_n(
-        shuffled,
-        ["repository_dirname", "language"],
-        ["_h", "filename", "dedup_key"],
-        cap,
-    ).drop("_h")
+    order = Window.partitionBy(*group).orderBy("_h", "filename", "dedup_key")
+    ranked = (
+        drop_surplus(shuffled, group, "_h", cap)
+        .withColumn("rank", F.row_number().over(order))
+        .where(F.col("rank") <= cap)
+        .drop("_h")
+    )
     languages = dictionary.languages_df(files.sparkSession)
     return (
         ranked.join(

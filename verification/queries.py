@@ -55,8 +55,13 @@ def prepared(spark, sf_dir):
     return repo_ops.prepare_repositories(altered(spark, sf_dir))
 
 
+def file_facts(spark, sf_dir):
+    """The listed files, stored: their texts are hashed once."""
+    return land(views.files(spark, sf_dir), "file_facts")
+
+
 def unique(spark, sf_dir):
-    return unique_files(views.files(spark, sf_dir), SETTINGS)
+    return unique_files(file_facts(spark, sf_dir), SETTINGS)
 
 
 def planned(spark, sf_dir):
@@ -286,7 +291,7 @@ def usable_files(spark, sf_dir):
 
 @query
 def rank_files(spark, sf_dir):
-    return file_ops.rank_files(views.files(spark, sf_dir), DICTIONARY).select(
+    return file_ops.rank_files(file_facts(spark, sf_dir), DICTIONARY).select(
         "extract_to", "dedup_key", "filename", "language", "rank",
         "repository_dirname", "repository_language",
     )
@@ -331,7 +336,7 @@ def removal_report(spark, sf_dir):
 
 @query
 def dedup_files(spark, sf_dir):
-    ranked = file_ops.rank_files(views.files(spark, sf_dir), DICTIONARY)
+    ranked = file_ops.rank_files(file_facts(spark, sf_dir), DICTIONARY)
     return file_ops.dedup_files(ranked).select(
         "extract_to", "dedup_key", "filename", "language", "rank",
         "repository_dirname", "repository_language",
@@ -340,7 +345,7 @@ def dedup_files(spark, sf_dir):
 
 @query
 def available_by_language(spark, sf_dir):
-    ranked = file_ops.rank_files(views.files(spark, sf_dir), DICTIONARY)
+    ranked = file_ops.rank_files(file_facts(spark, sf_dir), DICTIONARY)
     return file_ops.available_by_language(file_ops.dedup_files(ranked), DICTIONARY)
 
 
