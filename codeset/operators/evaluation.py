@@ -106,7 +106,7 @@ def label_index(labels: DataFrame) -> DataFrame:
     return _label_array(labels).select(F.posexplode("labels").alias("index", "label"))
 
 
-def _labels_of(counts: DataFrame) -> DataFrame:
+def labels_of(counts: DataFrame) -> DataFrame:
     """Distinct names among the actual and predicted labels."""
     both = F.explode(F.array("actual", "predicted")).alias("label")
     return counts.select(both).distinct()
@@ -118,7 +118,7 @@ def confusion_counts(predictions: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n")
     )
     grid = (
-        _label_array(_labels_of(counts))
+        _label_array(labels_of(counts))
         .select(F.explode("labels").alias("actual"), "labels")
         .select("actual", F.explode("labels").alias("predicted"))
     )
@@ -136,7 +136,7 @@ def confusion_shares(counts: DataFrame) -> DataFrame:
 
 def confusion_links(counts: DataFrame) -> DataFrame:
     """Links of the confusion graph: source and target index, share."""
-    index = label_index(_labels_of(counts))
+    index = label_index(labels_of(counts))
     source = index.select(F.col("label").alias("actual"), F.col("index").alias("source"))
     target = index.select(F.col("label").alias("predicted"), F.col("index").alias("target"))
     return (

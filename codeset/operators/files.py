@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codeset.dictionary import Dictionary
@@ -13,7 +13,7 @@ from codeset.functions.naming import (
     output_name,
 )
 from codeset.functions.order import DEFAULT_SEED, shuffle_key
-from codeset.operators.ranking import drop_surplus
+from codeset.operators.ranking import first_n
 from codeset.operators.repositories import present_dirs
 
 # Fixed value: files of one language taken from one repository.
@@ -88,20 +88,17 @@ def rank_files(
 ) -> DataFrame:
     """Shuffle the usable files of each (repository, language) and number them.
 
-    ``rank`` counts from 1 to ``cap``; ``extract_to`` is the output name.  The
-    files are scanned twice and shuffled once: give a stored table.
+    ``rank`` counts from 1 to ``cap``; ``extract_to`` is the output name.
     """
-    group = ["repository_dirname", "language"]
     shuffled = usable_files(files, dictionary).withColumn(
         "_h", shuffle_key("repository_dirname", "filename", seed=seed)
     )
-    order = Window.partitionBy(*group).orderBy("_h", "filename", "dedup_key")
-    ranked = (
-        drop_surplus(shuffled, group, "_h", cap)
-        .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= cap)
-        .drop("_h")
-    )
+    ranked = first_n(
+        shuffled,
+        ["repository_dirname", "language"],
+        ["_h", "filename", "dedup_key"],
+        cap,
+    ).drop("_h")
     languages = dictionary.languages_df(files.sparkSession)
     return (
         ranked.join(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from codeset.operators.evaluation import (
     MIN_CONFUSION,
-    _labels_of,
+    labels_of,
     confusion_links,
     mutual_confusions,
 )
@@ -57,7 +57,7 @@ def confusion_groups(
     in the order of their smallest label.
     """
     counts = land(counts, "counts")
-    labels = _labels_of(counts)
+    labels = labels_of(counts)
     pairs = mutual_confusions(counts, min_share)
     edges = pairs.select(F.col("actual").alias("a"), F.col("predicted").alias("b"))
     roots = connected_labels(edges, labels.select(F.col("label").alias("name")))

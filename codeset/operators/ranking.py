@@ -14,12 +14,6 @@ from pyspark.sql import functions as F
 # Tasks a hot group is spread over before its final top-n.
 SPREAD = 64
 
-# Rows of one group that a single task may sort.
-HOT_ROWS = 1_000_000
-
-# Hex strings that 1/4, 1/16, 1/64, ... of all md5 sums are below.
-MARKS = ["0" * (i // 2) + "41"[i % 2] for i in range(16)]
-
 
 def first_n(
     df: DataFrame,
@@ -49,43 +43,6 @@ def first_n(
     )
 
 
-def drop_surplus(
-    df: DataFrame,
-    group: Sequence[str],
-    key: str,
-    n: int,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Leave out rows that cannot be among the first ``n`` of a hot group.
-
-    ``key`` is an md5 hex column that leads the order.  One aggregation counts
-    each group's rows below 1/4, 1/16, ... of the key range; a group of more
-    than ``hot_rows`` rows keeps those below the least mark that still leaves
-    ``n``, which is about ``4 * n`` rows.  A table of N rows has fewer than
-    N / ``hot_rows`` such groups, so their marks are broadcast, and only the
-    kept rows are shuffled by whatever comes next.
-    """
-    below = [F.count_if(F.col(key) < m).alias(f"_{i}") for i, m in enumerate(MARKS)]
-    least = F.coalesce(
-        *[
-            F.when(F.col(f"_{i}") >= n, m)
-            for i, m in reversed(list(enumerate(MARKS)))
-        ]
-    )
-    hot = (
-        df.groupBy(*group)
-        .agg(F.count(F.lit(1)).alias("_rows"), *below)
-        .where(F.col("_rows") > hot_rows)
-        .select(*group, least.alias("_mark"))
-        .where(F.col("_mark").isNotNull())
-    )
-    return (
-        df.join(F.broadcast(hot), list(group), "left")
-        .where(F.col("_mark").isNull() | (F.col(key) < F.col("_mark")))
-        .select(df.columns)
-    )
-
-
 def slice_totals(
     df: DataFrame,
     group: Sequence[str],

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from codeset.dictionary import Dictionary, default_dictionary
 from codeset.functions.naming import content_key
@@ -101,9 +102,16 @@ def build_dataset(
     repository_dirname, filename, content.
     """
     facts = describe_contents(contents)
+    # Two repository names may share a directory; it counts as one repository.
+    languages = land(
+        repos.groupBy("repository_dirname").agg(
+            F.min("repository_language").alias("repository_language")
+        ),
+        "repositories",
+    )
     # A repository may hold a third of the files, so they are not shuffled by
     # repository unless there are too many repositories to broadcast.
-    listed = facts.join(broadcast_if_small(repos), "repository_dirname")
+    listed = facts.join(broadcast_if_small(languages), "repository_dirname")
     files = land(choose_files(listed, settings, prior), "files_extracted")
     chosen = files.where(files.status == EXTRACTED).drop("ok")
     texts = decode_files(

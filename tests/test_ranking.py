@@ -43,21 +43,6 @@ def test_first_n_is_limited_before_the_shuffle(table):
     assert kinds == ["limit", "shuffle", "limit"] * 2
 
 
-@pytest.mark.parametrize("n", [1, 7, 50, 5000])
-def test_drop_surplus_keeps_the_first(table, n):
-    kept = ranking.drop_surplus(table, ["g"], "h", n, hot_rows=20)
-    assert plain(kept, n) == plain(table, n)
-
-
-def test_drop_surplus_shrinks_hot_groups_only(table):
-    kept = ranking.drop_surplus(table, ["g"], "h", 10, hot_rows=100)
-    assert kept.where("g = 'hot'").count() < 100
-    others = "g is null or g <> 'hot'"
-    assert kept.where(others).count() == table.where(others).count()
-    untouched = ranking.drop_surplus(table, ["g"], "h", 10)
-    assert untouched.count() == table.count()
-
-
 def test_numbered(table):
     known = table.where("g is not null").withColumn("s", slice_of("h", 1))
     found = ranking.numbered(known, ["g"], ["s"], ["h", "id"])
@@ -75,8 +60,3 @@ def test_slice_totals_of_values(spark):
     )
     found = ranking.slice_totals(df, ["g"], ["s"], F.col("v"))
     assert rows(found) == [("a", 1, 7, 0, 8), ("a", 3, 1, 7, 8), ("b", 2, 4, 0, 4)]
-
-
-def test_marks_cut_quarters():
-    shares = [int(m.ljust(16, "0"), 16) / 16**16 for m in ranking.MARKS]
-    assert shares == [4.0 ** -(i + 1) for i in range(len(shares))]
