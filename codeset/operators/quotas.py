@@ -14,8 +14,8 @@ from codeset.operators.splits import USAGES, Quotas
 
 PENDING, EXTRACTED, DISCARDED = "PENDING", "EXTRACTED", "DISCARDED"
 
-# Content rows are matched by a broadcast of the chosen files' 8-byte hashes,
-# when the quotas prove that there are no more than this.
+# Content rows are matched by a broadcast of the chosen files' 8-byte hashes if
+# there are no more than this; the default quotas choose 1.9 million.
 MAX_BROADCAST_FILES = 4_000_000
 
 _GROUP = ["language", "usage"]
@@ -186,21 +186,20 @@ def status_totals(files: DataFrame) -> DataFrame:
 def chosen_content(
     chosen: DataFrame,
     content: DataFrame,
-    quotas: Quotas,
-    dictionary: Dictionary,
     keys: Sequence[str] = ("repository_dirname", "filename"),
+    max_broadcast: int = MAX_BROADCAST_FILES,
 ) -> DataFrame:
     """Content rows of the chosen files, with the chosen files' columns.
 
     The bytes are the bulk of the data, so unwanted rows are dropped before
     they are shuffled, by a broadcast of the chosen keys' 8-byte hashes.  The
-    quotas bound their number; above MAX_BROADCAST_FILES both sides are
-    shuffled instead.
+    chosen files are counted first (give a stored table); above
+    ``max_broadcast`` both sides are shuffled instead.
     """
     keys = list(keys)
     hashed = F.xxhash64(*keys)
-    if quotas.total * len(dictionary.languages) <= MAX_BROADCAST_FILES:
-        wanted = chosen.select(hashed.alias("_key")).distinct()
+    if chosen.limit(max_broadcast + 1).count() <= max_broadcast:
+        wanted = chosen.select(hashed.alias("_key"))
         content = (
             content.withColumn("_key", hashed)
             .join(F.broadcast(wanted), "_key", "left_semi")

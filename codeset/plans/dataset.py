@@ -23,32 +23,46 @@ from codeset.operators.repositories import (
     REPOSITORIES_PER_LANGUAGE,
     alter,
     prepare_repositories,
+    require_any,
     select_repositories,
     shrink,
 )
-from codeset.operators.splits import Quotas, assign_usage, split_cuts
+from codeset.operators.splits import (
+    Quotas,
+    assign_usage,
+    require_split,
+    split_cuts,
+    split_report,
+    split_repositories,
+)
 from codeset.session import broadcast_if_small, land
 
 
 @dataclass(frozen=True)
 class Settings:
-    """What a dataset should look like."""
+    """What a dataset should look like.
+
+    ``strict`` raises on malformed repository names and on languages that
+    cannot be split, instead of leaving them out.
+    """
 
     repositories: int = REPOSITORIES_PER_LANGUAGE
     quotas: Quotas = field(default_factory=Quotas)
     dictionary: Dictionary = field(default_factory=default_dictionary)
     seed: str = DEFAULT_SEED
+    strict: bool = False
 
 
 def choose_repositories(
     catalog: DataFrame, settings: Settings, curated: DataFrame | None = None
 ) -> DataFrame:
-    """Catalogue to prepared repositories."""
+    """Catalogue to prepared repositories, landed; at least one must be left."""
     altered = alter(shrink(catalog), settings.dictionary, curated)
     selected = select_repositories(
         altered, settings.dictionary, settings.repositories, settings.seed
     )
-    return prepare_repositories(selected)
+    prepared = prepare_repositories(selected, settings.strict)
+    return require_any(land(prepared, "repo_prepared"))
 
 
 def unique_files(files: DataFrame, settings: Settings) -> DataFrame:
@@ -63,6 +77,11 @@ def with_usage(files: DataFrame, settings: Settings) -> DataFrame:
     The cuts are landed, at most one row per language, so that the files need
     not be written again to be scanned several times.
     """
+    if settings.strict:
+        splits = split_repositories(
+            files, settings.dictionary, settings.quotas, settings.seed
+        )
+        require_split(split_report(splits, settings.dictionary))
     cuts = split_cuts(files, settings.dictionary, settings.quotas, settings.seed)
     return assign_usage(files, land(cuts, "split_cuts"), settings.seed)
 
@@ -114,7 +133,5 @@ def build_dataset(
     listed = facts.join(broadcast_if_small(languages), "repository_dirname")
     files = land(choose_files(listed, settings, prior), "files_extracted")
     chosen = files.where(files.status == EXTRACTED).drop("ok")
-    texts = decode_files(
-        chosen_content(chosen, contents, settings.quotas, settings.dictionary)
-    )
+    texts = decode_files(chosen_content(chosen, contents))
     return files, dataset_rows(texts)

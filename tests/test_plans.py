@@ -82,7 +82,7 @@ def test_selection_reads_three_columns(spark, dictionary, tmp_path):
     assert "EqualTo(host_type,GitHub)" in text or "EqualNullSafe(host_type,GitHub)" in text
 
 
-def test_bytes_are_decoded_once_and_filtered_before_the_shuffle(spark, dictionary):
+def test_bytes_are_decoded_once_and_filtered_before_the_shuffle(spark):
     contents = land(
         spark.range(100).select(
             F.lit("r").alias("repository_dirname"),
@@ -94,13 +94,11 @@ def test_bytes_are_decoded_once_and_filtered_before_the_shuffle(spark, dictionar
     assert plan(decode_files(contents)).count("ArrowEvalPython") == 1
     assert shuffles(decode_files(contents)) == 0
     chosen = land(contents.limit(3).drop("content"), "chosen")
-    text = plan(
-        quota_ops.chosen_content(chosen, contents, Quotas(1, 1, 1), dictionary)
-    )
+    text = plan(quota_ops.chosen_content(chosen, contents))
     content_side = [l for l in text.splitlines() if "content" in l or "LeftSemi" in l]
     assert any("LeftSemi" in l and "Broadcast" in l for l in content_side)
 
 
-def test_reports_prune_the_bytes(spark, dictionary, listing):
+def test_reports_prune_the_bytes(listing):
     text = plan(repo_ops.present_dirs(listing))
     assert "ReadSchema: struct<repository_dirname:string>" in text

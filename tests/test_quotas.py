@@ -129,8 +129,7 @@ def test_report_and_totals(spark, dictionary):
 
 
 @pytest.mark.parametrize("limit", [ops.MAX_BROADCAST_FILES, 0])
-def test_chosen_content(spark, dictionary, monkeypatch, limit):
-    monkeypatch.setattr(ops, "MAX_BROADCAST_FILES", limit)
+def test_chosen_content(spark, limit):
     contents = spark.range(50).select(
         F.lit("r").alias("repository_dirname"),
         F.concat(F.lit("f"), "id").alias("filename"),
@@ -140,7 +139,7 @@ def test_chosen_content(spark, dictionary, monkeypatch, limit):
         [("r", "f3", "x"), ("r", "f7", "y"), ("r", "gone", "z")],
         "repository_dirname string, filename string, extract_to string",
     )
-    found = ops.chosen_content(chosen, contents, Quotas(1, 1, 1), dictionary)
+    found = ops.chosen_content(chosen, contents, max_broadcast=limit)
     assert rows(found, "extract_to", "content") == [
         ("x", bytearray(b"text 3")),
         ("y", bytearray(b"text 7")),

@@ -116,3 +116,18 @@ def test_a_second_run_adds_to_the_first(settings, catalog, contents, built):
     new = again.where(F.col("status") == EXTRACTED).select("extract_to")
     assert old.join(new, "extract_to", "left_anti").isEmpty()
     assert new.count() > old.count()
+
+
+def test_strict_settings(spark, settings, catalog, contents):
+    strict = Settings(
+        repositories=REPOSITORIES, quotas=settings.quotas, strict=True
+    )
+    repos = dataset.choose_repositories(catalog, strict)
+    few = repos.where("repository_language <> 'Go'")
+    with pytest.raises(RuntimeError, match="not so for: Go"):
+        dataset.build_dataset(few, contents, strict)
+    bad = catalog.limit(1).withColumn("name_with_owner", F.lit("a/b/c"))
+    with pytest.raises(Exception, match="bad name"):
+        dataset.choose_repositories(bad, strict)
+    with pytest.raises(RuntimeError, match="no repository"):
+        dataset.choose_repositories(bad, settings)

@@ -230,6 +230,24 @@ CTES = {
               OR 1 - 1.2::DOUBLE * high / size < 0.5 THEN NULL
             WHEN regexp_matches(hex(content), '^([0-9A-F]{2})*(81|8D|8F|90|9D)')
             THEN 'latin-1' ELSE 'cp1252' END AS encoding FROM measured)""",
+    # the same with neither UTF-16 nor a stand-in for the ok flag
+    "mixed": r"""
+        SELECT * EXCLUDE (ok), octet_length(content) AS size
+        FROM (SELECT *, CASE WHEN doc_id % 11 = 0 THEN encode(text) || '\x00\xFF'::BLOB
+            WHEN doc_id % 7 = 0 THEN encode(text) || '\xFF'::BLOB
+            ELSE encode(text) END AS content FROM docs)""",
+    "built": r"""
+        SELECT * EXCLUDE (content, text),
+          sha1(encode('blob ' || size) || '\x00'::BLOB || content) AS dedup_key,
+          CASE WHEN doc_id % 11 = 0 THEN false WHEN doc_id % 7 <> 0 THEN true
+            ELSE NOT contains(text, chr(0))
+              AND length(regexp_replace(text,
+                '[^\x00-\x08\x0E-\x1A\x1C-\x1F\x7F]', '', 'g')) <= 0.02 * size
+              AND 1 - 1.2::DOUBLE * (size - length(regexp_replace(text,
+                '[^\x00-\x7F]', '', 'g'))) / size >= 0.5 END AS ok,
+          CASE WHEN doc_id % 7 = 0 THEN size ELSE length(text) END AS n_chars
+        FROM mixed""",
+    **_chain("built_", "built", QUOTAS),
     "predictions": """
         SELECT event_type AS actual,
           CASE WHEN event_id % 5 = 0 AND event_type = 'click' THEN 'view'
@@ -305,6 +323,7 @@ FILE_COLUMNS = (
 
 _SQL = {
     "read_repo_catalog": "SELECT host_type, name_with_owner, fork, language FROM catalog",
+    "read_repo_list": "SELECT * FROM curated",
     "catalog_shrink": "SELECT repository_name, repository_language FROM shrunk",
     "catalog_alter": "SELECT * FROM altered_alone",
     "merge_repo_lists": "SELECT * FROM altered",
@@ -415,6 +434,12 @@ _SQL = {
         SELECT usage, language, extract_to, n_chars
         FROM extracted JOIN decoded d USING (repository_dirname, filename)
         WHERE status = 'EXTRACTED' AND d.ok""",
+    "build_dataset": """
+        SELECT usage, language, extract_to, n_chars FROM built_extracted
+        WHERE status = 'EXTRACTED'""",
+    "unreachable_files": """
+        SELECT repository_dirname, filename FROM docs
+        WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
     "files_by_repository": """
         SELECT repository_dirname, CAST((rank - 1) // 1000 AS INTEGER) AS batch,
           count(*) AS n_files, string_agg(filename, ',' ORDER BY filename) AS filenames

@@ -14,6 +14,7 @@ from codeset.operators import files as file_ops
 from codeset.operators import quotas as quota_ops
 from codeset.operators import repositories as repo_ops
 from codeset.operators import splits as split_ops
+from codeset.plans import dataset
 from codeset.plans.dataset import unique_files, with_usage
 from codeset.dictionary import dict_conflicts as conflicts
 from codeset.session import land, new_path, tune
@@ -111,6 +112,14 @@ def read_repo_catalog(spark, sf_dir):
     return readers.read_repo_catalog(spark, path)
 
 
+@query
+def read_repo_list(spark, sf_dir):
+    """Write the curated list as CSV, then read it."""
+    path = new_path(spark, "curated-csv")
+    views.curated(spark, sf_dir).write.csv(path, header=True, escape='"')
+    return readers.read_repo_list(spark, path)
+
+
 @query
 def catalog_shrink(spark, sf_dir):
     return repo_ops.shrink(views.catalog(spark, sf_dir))
@@ -373,6 +382,19 @@ def decode_contents(spark, sf_dir):
     )
 
 
+@query
+def unreachable_files(spark, sf_dir):
+    """Files whose content is missing: only labelled documents have one."""
+    labels = views.table(spark, sf_dir, "labels").select("doc_id")
+    present = views.documents(spark, sf_dir).join(labels, "doc_id", "left_semi")
+    contents = present.select(
+        "repository_dirname", "filename", F.encode("text", "UTF-8").alias("content")
+    )
+    files = views.files(spark, sf_dir).select("repository_dirname", "filename")
+    decoded = decode_files(readers.with_content(files, contents))
+    return decoded.where(~F.col("ok")).select("repository_dirname", "filename")
+
+
 @query
 def select_quota(spark, sf_dir):
     return extracted(spark, sf_dir).select(
@@ -413,9 +435,7 @@ def dataset_texts(spark, sf_dir):
         F.col("status") == quota_ops.EXTRACTED
     )
     contents = views.file_bytes(spark, sf_dir)
-    rows = decode_files(
-        quota_ops.chosen_content(chosen.drop("ok"), contents, QUOTAS, DICTIONARY)
-    )
+    rows = decode_files(quota_ops.chosen_content(chosen.drop("ok"), contents))
     path = new_path(spark, "dataset-texts")
     writers.write_dataset(quota_ops.dataset_rows(rows), path)
     written = spark.read.parquet(path)
@@ -425,6 +445,20 @@ def dataset_texts(spark, sf_dir):
     )
 
 
+@query
+def build_dataset(spark, sf_dir):
+    """From file bytes to the written texts, all steps chained."""
+    repos = views.documents(spark, sf_dir).select(
+        "repository_dirname", "repository_language"
+    )
+    contents = views.mixed_bytes(spark, sf_dir)
+    _, texts = dataset.build_dataset(repos, contents, SETTINGS)
+    return texts.select(
+        "usage", "language", "extract_to",
+        F.length("text").cast("bigint").alias("n_chars"),
+    )
+
+
 @query
 def files_by_repository(spark, sf_dir):
     chosen = extracted(spark, sf_dir).where(F.col("status") == quota_ops.EXTRACTED)

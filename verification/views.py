@@ -121,6 +121,17 @@ def file_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mixed_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with their bytes: UTF-8, binary and single-byte ones."""
+    return documents(spark, sf_dir).selectExpr(
+        "repository_dirname",
+        "filename",
+        """CASE WHEN doc_id % 11 = 0 THEN concat(encode(text, 'UTF-8'), X'00FF')
+                WHEN doc_id % 7 = 0 THEN concat(encode(text, 'UTF-8'), X'FF')
+                ELSE encode(text, 'UTF-8') END AS content""",
+    )
+
+
 def second_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files that hold the second line of a document, often nothing."""
     return documents(spark, sf_dir).select(
