@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from codeset.dictionary import Dictionary
+from codeset.functions.naming import basename
 from codeset.operators.evaluation import label_by_extension, read_report
 from codeset.session import small_frame
 
@@ -98,9 +99,12 @@ def repo_list_from_pages(
 def read_file_listings(spark: SparkSession, path: str) -> DataFrame:
     """Listing lines, one text file or one partition folder per repository."""
     lines = spark.read.text(path)
-    name = F.regexp_replace("_metadata.file_name", r"\.txt$", "")
     if "repository_dirname" in lines.columns:
         name = F.col("repository_dirname")
+    else:
+        # the metadata column holds the name in URL form, but for "+"
+        encoded = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
+        name = F.regexp_replace(F.url_decode(encoded), r"\.txt$", "")
     return lines.select(name.alias("repository_dirname"), F.col("value").alias("line"))
 
 
@@ -124,7 +128,7 @@ def with_content(files: DataFrame, contents: DataFrame) -> DataFrame:
 def scan_directory(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """(name, suffix) of the files of a directory, without reading them."""
     files = spark.read.format("binaryFile").load(path, pathGlobFilter=pattern)
-    name = F.col("_metadata.file_name")
+    name = basename("path")
     return files.select(
         name.alias("name"), F.regexp_extract(name, r"^.+(\.[^.]+)$", 1).alias("suffix")
     )
@@ -135,7 +139,7 @@ def scan_test_files(
 ) -> DataFrame:
     """(name, label, text) of a directory's files of a known extension."""
     files = spark.read.format("binaryFile").load(path).select(
-        F.col("_metadata.file_name").alias("name"),
+        basename("path").alias("name"),
         F.col("content").cast("string").alias("text"),
     )
     return label_by_extension(files, dictionary).select("name", "label", "text")

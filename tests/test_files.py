@@ -185,6 +185,27 @@ def test_listing_files_and_contents(spark, tmp_path):
     assert found == {"src/x.py": b"\xff1", "gone.py": None}
 
 
+def test_unusual_file_names(spark, tmp_path, dictionary):
+    names = ["with space.py", "100%25.py", "é#1.py", "a+b=c.py"]
+    source = tmp_path / "repositories" / "a___b" / "src dir"
+    source.mkdir(parents=True)
+    for name in names:
+        (source / name).write_text(name)
+    contents = readers.read_contents(spark, str(tmp_path / "repositories"))
+    found = {r.filename: r.content.decode() for r in contents.collect()}
+    assert found == {f"src dir/{name}": name for name in names}
+    scanned = readers.scan_directory(spark, str(source))
+    assert rows(scanned, "name") == sorted([(n,) for n in names], key=repr)
+    listings = tmp_path / "listings"
+    listings.mkdir()
+    for name in names:
+        (listings / f"{name}.txt").write_text("line")
+    lines = readers.read_file_listings(spark, str(listings))
+    assert rows(lines, "repository_dirname") == sorted([(n,) for n in names], key=repr)
+    tests = readers.scan_test_files(spark, str(source), dictionary)
+    assert rows(tests, "name", "text") == sorted([(n, n) for n in names], key=repr)
+
+
 def test_scan_directory(spark, tmp_path):
     for name in ("1.py", "2.go", "plain"):
         (tmp_path / name).write_text("text of " + name)
