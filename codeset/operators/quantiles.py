@@ -10,18 +10,22 @@ from pyspark.sql import functions as F
 from codeset.operators.ranking import slice_totals
 from codeset.session import land
 
-SLICES_PER_DOUBLING = 128  # of the odds; about 12,800 slices in all
+SMALLEST = 5e-324  # the smallest positive double
+SLICES_PER_DOUBLING = 128  # of the distance; at most 150,000 slices in all
 WHISKER_REACH = 1.5  # box-plot whiskers reach this many quartile ranges
 
 
 def probability_slice(prob: str | Column) -> Column:
     """Slice number that never falls as the probability grows.
 
-    Classifier scores crowd near 0 and 1, so slices are even in log odds.
-    Values outside (0, 1) fall into the first or last slice.
+    Classifier scores crowd near 0 and 1, so slices are even in the logarithm
+    of the distance to the nearer end.  Values outside [0, 1] join the ends.
     """
-    inside = F.least(F.greatest(prob, F.lit(1e-15)), F.lit(1 - 1e-15))
-    return F.floor(F.log2(inside / (1 - inside)) * SLICES_PER_DOUBLING).cast("int")
+    prob = F.col(prob) if isinstance(prob, str) else prob
+    low = F.log2(F.greatest(prob, F.lit(SMALLEST)))
+    high = -F.log2(F.greatest(1 - prob, F.lit(SMALLEST)))
+    place = F.when(prob < 0.5, low).otherwise(high)
+    return F.floor(place * SLICES_PER_DOUBLING).cast("int")
 
 
 def value_counts(

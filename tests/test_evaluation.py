@@ -143,6 +143,8 @@ def random_probabilities(spark):
         ("b", "y"): np.array([0.25]),
         ("c", "x"): np.repeat([0.0, 1.0, 0.5], [10, 5, 6]),
         ("c", "y"): draw.random(2),
+        ("d", "x"): 10.0 ** draw.uniform(-40, -15, 300),
+        ("d", "y"): 1 - 10.0 ** draw.uniform(-15, -10, 300),
     }
     table = [(*k, float(p)) for k, values in groups_.items() for p in values]
     table += [("a", "x", None), ("a", "x", float("nan"))]
@@ -175,11 +177,19 @@ def test_medians_are_sorted(spark):
 
 def test_slices_never_fall(spark):
     df = spark.createDataFrame(
-        [(float(p),) for p in [0, 1e-300, 1e-9, 0.1, 0.5, 0.5000001, 0.999999, 1, 1.5]],
+        [
+            (float(p),)
+            for p in [
+                -1, 0, 5e-324, 1e-300, 1e-20, 1e-19, 1e-9, 0.1, 0.49, 0.5,
+                0.5000001, 0.999999, 1 - 2**-53, 1, 1.5,
+            ]
+        ],
         "prob double",
     )
     found = [r[0] for r in df.select(quantiles.probability_slice("prob")).collect()]
     assert found == sorted(found)
+    # apart from the ends, only 0.5 and 0.5000001 share a slice
+    assert len(set(found)) == 11
 
 
 def test_scores_and_reports(spark, tmp_path):
