@@ -29,9 +29,9 @@ def check_not_empty(files: DataFrame) -> DataFrame:
     return files.where(empty).select("repository_dirname", "filename")
 
 
-def check_text_only(decoded: DataFrame) -> DataFrame:
+def check_text_only(flagged: DataFrame) -> DataFrame:
     """Files that did not decode to text."""
-    return decoded.where(~F.col("ok")).select("repository_dirname", "filename")
+    return flagged.where(~F.col("ok")).select("repository_dirname", "filename")
 
 
 def check_utf8(files: DataFrame, column: str = "content") -> DataFrame:

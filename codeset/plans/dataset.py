@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from codeset.dictionary import Dictionary, default_dictionary
 from codeset.functions.naming import content_key
 from codeset.functions.order import DEFAULT_SEED
-from codeset.functions.text import decode_files
+from codeset.functions.text import decode_files, flag_files
 from codeset.operators.files import dedup_files, rank_files
 from codeset.operators.quotas import (
     EXTRACTED,
@@ -106,7 +106,7 @@ def describe_contents(contents: DataFrame) -> DataFrame:
     until the chosen files' bytes are read.
     """
     keyed = contents.withColumn("dedup_key", content_key("content"))
-    return land(decode_files(keyed).drop("text", "encoding"), "file_facts")
+    return land(flag_files(keyed).drop("encoding"), "file_facts")
 
 
 def build_dataset(

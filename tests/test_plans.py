@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from codeset.functions.text import decode_files
+from codeset.functions.text import decode_files, flag_files
 from codeset.operators import files as file_ops
 from codeset.operators import quotas as quota_ops
 from codeset.operators import repositories as repo_ops
@@ -93,6 +93,11 @@ def test_bytes_are_decoded_once_and_filtered_before_the_shuffle(spark):
     )
     assert plan(decode_files(contents)).count("ArrowEvalPython") == 1
     assert shuffles(decode_files(contents)) == 0
+    flagged = plan(flag_files(contents))
+    assert flagged.count("ArrowEvalPython") == 1
+    below = flagged.split("ArrowEvalPython")[1].splitlines()[1]
+    assert "Project [repository_dirname, filename, isnull(content) AS _missing" in below
+    assert ", content," not in below
     chosen = land(contents.limit(3).drop("content"), "chosen")
     text = plan(quota_ops.chosen_content(chosen, contents))
     content_side = [l for l in text.splitlines() if "content" in l or "LeftSemi" in l]

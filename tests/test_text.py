@@ -1,4 +1,4 @@
-from codeset.functions.text import decode_files, detect_encoding, is_utf8
+from codeset.functions.text import decode_files, detect_encoding, flag_files, is_utf8
 from helpers import rows
 
 NOISE = bytes.fromhex(
@@ -10,7 +10,9 @@ def decode(spark, *contents, **options):
     df = spark.createDataFrame(
         [(str(i), c) for i, c in enumerate(contents)], "name string, content binary"
     )
-    found = decode_files(df, **options)
+    found = decode_files(df, **options).cache()
+    flagged = flag_files(df, **options)
+    assert rows(flagged) == rows(found, "name", "encoding", "ok")
     assert found.columns == ["name", "text", "encoding", "ok"]
     return [r[1:] for r in rows(found)]
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codeset.functions.naming import content_key, extension
-from codeset.functions.text import decode_files
+from codeset.functions.text import decode_files, flag_files
 from codeset.operators import checks, evaluation, groups, quantiles
 from codeset.operators import files as file_ops
 from codeset.operators import quotas as quota_ops
@@ -391,8 +391,8 @@ def unreachable_files(spark, sf_dir):
         "repository_dirname", "filename", F.encode("text", "UTF-8").alias("content")
     )
     files = views.files(spark, sf_dir).select("repository_dirname", "filename")
-    decoded = decode_files(readers.with_content(files, contents))
-    return decoded.where(~F.col("ok")).select("repository_dirname", "filename")
+    flagged = flag_files(readers.with_content(files, contents))
+    return flagged.where(~F.col("ok")).select("repository_dirname", "filename")
 
 
 @query
@@ -658,7 +658,7 @@ def check_not_empty(spark, sf_dir):
 
 @query
 def check_text_only(spark, sf_dir):
-    return checks.check_text_only(decode_files(views.file_bytes(spark, sf_dir)))
+    return checks.check_text_only(flag_files(views.file_bytes(spark, sf_dir)))
 
 
 @query
