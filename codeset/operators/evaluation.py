@@ -19,7 +19,7 @@ EPSILON = 1e-16
 REPORT_TYPE = "map<string,map<string,bigint>>"
 
 # Tables of label by label are made for at most this many labels.
-MAX_LABELS = 5000
+MAX_LABELS = 1000
 
 # A scorer takes texts and returns one {class: probability} per text.
 Scorer = Callable[[list[str]], list[dict[str, float]]]

@@ -18,6 +18,7 @@ from codeset.operators.quotas import (
     dataset_rows,
     reconcile,
     select_quota,
+    subset_training,
 )
 from codeset.operators.repositories import (
     REPOSITORIES_PER_LANGUAGE,
@@ -135,3 +136,19 @@ def build_dataset(
     chosen = files.where(files.status == EXTRACTED).drop("ok")
     texts = decode_files(chosen_content(chosen, contents))
     return files, dataset_rows(texts)
+
+
+def subset_texts(dataset: DataFrame, n: int, settings: Settings) -> DataFrame:
+    """Random ``n`` training files per language of a written dataset, with text.
+
+    The names are chosen first; only the chosen files' texts are shuffled.
+    """
+    train = dataset.where(F.col("usage") == "train").withColumnRenamed(
+        "extract_to", "name"
+    )
+    chosen = subset_training(
+        train.select("name"), settings.dictionary, n, settings.seed
+    )
+    return chosen_content(
+        land(chosen, "subset"), train.select("name", "text"), ["name"]
+    )

@@ -448,6 +448,11 @@ _SQL = {
         SELECT extract_to AS name, language FROM planned WHERE usage = 'train'
         QUALIFY row_number() OVER (PARTITION BY language
             ORDER BY md5('0:' || extract_to), extract_to) <= {views.SUBSET}""",
+    "subset_texts": f"""
+        SELECT extract_to AS name, language, n_chars FROM built_extracted
+        WHERE status = 'EXTRACTED' AND usage = 'train'
+        QUALIFY row_number() OVER (PARTITION BY language
+            ORDER BY md5('0:' || extract_to), extract_to) <= {views.SUBSET}""",
     "export_label_map": """
         SELECT '{' || string_agg('"' || language || '":"' || primary_ext || '"', ','
             ORDER BY lower(language)) || '}' AS languages_json

@@ -479,6 +479,24 @@ def subset_training(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query
+def subset_texts(spark, sf_dir):
+    """Write a dataset, then take a training subset of it with its texts."""
+    repos = views.documents(spark, sf_dir).select(
+        "repository_dirname", "repository_language"
+    )
+    _, texts = dataset.build_dataset(repos, views.mixed_bytes(spark, sf_dir), SETTINGS)
+    root = new_path(spark, "dataset")
+    writers.write_dataset(texts, f"{root}/files")
+    subset = dataset.subset_texts(
+        spark.read.parquet(f"{root}/files"), views.SUBSET, SETTINGS
+    )
+    path = writers.write_training_subset(subset, root, views.SUBSET)
+    return spark.read.parquet(path).select(
+        "name", "language", F.length("text").cast("bigint").alias("n_chars")
+    )
+
+
 @query
 def export_label_map(spark, sf_dir):
     """Label map of the languages that occur in the files."""
