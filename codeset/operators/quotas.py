@@ -11,6 +11,7 @@ from codeset.dictionary import Dictionary, known_language
 from codeset.functions.order import DEFAULT_SEED, shuffle_key, slice_of
 from codeset.operators.ranking import first_n, slice_totals
 from codeset.operators.splits import USAGES, Quotas
+from codeset.session import land
 
 PENDING, EXTRACTED, DISCARDED = "PENDING", "EXTRACTED", "DISCARDED"
 
@@ -81,30 +82,36 @@ def quota_cuts(
 
     ``cut_rank``/``cut_name`` place the ``need``-th decodable pending file in
     (rank, extract_to) order; they are null if there are fewer.  At most three
-    rows per language.  Counts per (rank, name slice) find the slice that holds
-    the cut, and only that slice is sorted, so no task sees a whole group.
+    rows per language.  Counts per (rank, name slice), landed, find the slice
+    that holds the cut, and only that slice is sorted, so no task sees a whole
+    group.
     """
     known = known_language("language", dictionary)
-    done = (
-        files.where(known & (F.col("status") == EXTRACTED))
-        .groupBy(*_GROUP)
-        .agg(F.count(F.lit(1)).alias("done"))
+    done = F.col("status") == EXTRACTED
+    waiting = F.col("ok") & (F.col("status") == PENDING)
+    sliced = files.withColumn("_slice", slice_of("extract_to"))
+    counts = land(
+        sliced.where(known & (done | waiting))
+        .groupBy(*_GROUP, "rank", "_slice")
+        .agg(F.count_if(waiting).alias("_waiting"), F.count_if(done).alias("_done")),
+        "quota_counts",
     )
-    left = quotas.of("usage") - F.coalesce("done", F.lit(0))
+    done_before = counts.groupBy(*_GROUP).agg(F.sum("_done").alias("_done"))
+    left = quotas.of("usage") - F.coalesce("_done", F.lit(0))
     needs = (
         language_usages(files, dictionary)
-        .join(done, _GROUP, "left")
+        .join(done_before, _GROUP, "left")
         .select(*_GROUP, F.greatest(left, F.lit(0)).alias("need"))
     )
-    pending = files.where(
-        known & F.col("ok") & (F.col("status") == PENDING)
-    ).select(*_GROUP, "rank", "extract_to", slice_of("extract_to").alias("_slice"))
     holding = (
-        slice_totals(pending, _GROUP, ["rank", "_slice"])
+        slice_totals(counts, _GROUP, ["rank", "_slice"], F.col("_waiting"))
         .join(F.broadcast(needs), _GROUP)
         .where("before < need and need <= before + in_slice")
         .select(*_GROUP, "rank", "_slice", (F.col("need") - F.col("before")).alias("_nth"))
     )
+    pending = sliced.where(known & waiting).select(
+        *_GROUP, "rank", "extract_to", "_slice"
+    )
     inside = Window.partitionBy(*_GROUP).orderBy("extract_to")
     cuts = (
         pending.join(F.broadcast(holding), [*_GROUP, "rank", "_slice"])
