@@ -1,11 +1,13 @@
 import hashlib
 import random
+from pathlib import PurePosixPath
 
 import pytest
 from pyspark.sql import functions as F
 
 from codeset.functions import naming
 from codeset.operators import files as ops
+from codeset.plans.dataset import Settings, unique_files
 from codeset.sources import readers
 from helpers import rows
 
@@ -246,3 +248,58 @@ def test_rank_equals_a_plain_loop(spark, dictionary):
     assert rows(ranked, "repository_dirname", "filename", "rank") == sorted(
         wanted, key=repr
     )
+
+
+def test_names_equal_pathlib(spark):
+    draw = random.Random(1)
+    names = {"".join(draw.choices("aB./_ é", k=draw.randint(1, 12))) for _ in range(800)}
+    # paths as a listing has them: no empty, "." or ".." part
+    names = sorted(
+        n for n in names if not {"", ".", ".."} & set(n.split("/"))
+    )
+    assert len(names) > 300
+    df = spark.createDataFrame([(n,) for n in names], "filename string")
+    found = df.select(
+        "filename", naming.basename("filename"), naming.extension("filename")
+    )
+    wanted = [
+        (n, PurePosixPath(n).name, PurePosixPath(n).suffix.lstrip(".").lower())
+        for n in names
+    ]
+    assert rows(found) == sorted(wanted, key=repr)
+
+
+def test_listing_lines_equal_a_split(spark):
+    draw = random.Random(2)
+    lines = ["".join(draw.choices("ab \t", k=draw.randint(0, 14))) for _ in range(500)]
+    df = spark.createDataFrame(
+        [("r", l) for l in lines], "repository_dirname string, line string"
+    )
+    parts = [l.split(maxsplit=3) for l in (l.strip() for l in lines)]
+    wanted = [(p[3], p[2]) for p in parts if len(p) == 4]
+    assert len(wanted) > 50
+    found = rows(ops.parse_file_listing(df), "filename", "dedup_key")
+    assert found == sorted(wanted, key=repr)
+
+
+def test_hot_repository_and_content(spark, dictionary):
+    """Half of the files in one repository, a third with one content."""
+    draw = random.Random(4)
+    triples = []
+    for i in range(2400):
+        repo = "hot" if draw.random() < 0.5 else f"r{draw.randint(0, 60)}"
+        key = "copy" if draw.random() < 0.33 else f"k{draw.randint(0, 900)}"
+        triples.append((repo, f"d{i}/f.{draw.choice(['py', 'c', 'txt'])}", key))
+    found = unique_files(listing(spark, *triples).repartition(17), Settings())
+    groups = {}
+    for repo, name, key in triples:
+        if not name.endswith("txt"):
+            groups.setdefault((repo, name[-2:]), []).append((name, key))
+    kept = {}
+    for (repo, _), files in groups.items():
+        files.sort(key=lambda f: hashlib.md5(f"0:{repo}:{f[0]}".encode()).hexdigest())
+        for rank, (name, key) in enumerate(files[: ops.FILES_PER_REPOSITORY], 1):
+            kept[key] = min(kept.get(key, (repo, name, rank)), (repo, name, rank))
+    wanted = [(key, *file) for key, file in kept.items()]
+    columns = ["dedup_key", "repository_dirname", "filename", "rank"]
+    assert rows(found, *columns) == sorted(wanted, key=repr)
