@@ -91,19 +91,30 @@ def unpivot_report(report: DataFrame, classes: Sequence[str]) -> DataFrame:
     )
 
 
-def _label_array(labels: DataFrame) -> DataFrame:
-    """One row with the sorted array of labels; too many labels fail."""
-    array = F.array_sort(F.collect_set("label"))
-    return labels.agg(array.alias("labels")).select(
-        F.when(F.size("labels") <= MAX_LABELS, F.col("labels"))
-        .otherwise(F.raise_error(F.lit(f"more than {MAX_LABELS} labels")))
-        .alias("labels")
+def label_items(labels: DataFrame, *columns: str | Column) -> DataFrame:
+    """One row with the sorted array ``items`` of a table of labels.
+
+    Several columns give structs.  The limit only keeps the check of the size
+    from collecting more; a table that it would cut fails.
+    """
+    item = F.struct(*columns) if len(columns) > 1 else columns[0]
+    return (
+        labels.limit(MAX_LABELS + 1)
+        .agg(F.array_sort(F.collect_list(item)).alias("items"))
+        .select(
+            F.when(F.size("items") <= MAX_LABELS, F.col("items"))
+            .otherwise(F.raise_error(F.lit(f"more than {MAX_LABELS} labels")))
+            .alias("items")
+        )
     )
 
 
 def label_index(labels: DataFrame) -> DataFrame:
     """(label, index) with labels numbered from 0 in name order."""
-    return _label_array(labels).select(F.posexplode("labels").alias("index", "label"))
+    distinct = labels.select("label").distinct()
+    return label_items(distinct, "label").select(
+        F.posexplode("items").alias("index", "label")
+    )
 
 
 def labels_of(counts: DataFrame) -> DataFrame:
@@ -118,9 +129,9 @@ def confusion_counts(predictions: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n")
     )
     grid = (
-        _label_array(labels_of(counts))
-        .select(F.explode("labels").alias("actual"), "labels")
-        .select("actual", F.explode("labels").alias("predicted"))
+        label_items(labels_of(counts), "label")
+        .select(F.explode("items").alias("actual"), "items")
+        .select("actual", F.explode("items").alias("predicted"))
     )
     return grid.join(counts, ["actual", "predicted"], "left").select(
         "actual", "predicted", F.coalesce("n", F.lit(0)).alias("n")
@@ -183,11 +194,11 @@ def matrix_cells(counts: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def _numbered_by(nodes: DataFrame, column: str, *order: Column) -> DataFrame:
-    """(name, column) with names numbered from 1 in ascending order."""
-    items = F.array_sort(F.collect_list(F.struct(*order, F.col("name").alias("_name"))))
-    return nodes.agg(items.alias("_items")).select(
-        F.posexplode("_items").alias("_at", "_item")
-    ).select(F.col("_item._name").alias("name"), (F.col("_at") + 1).alias(column))
+    """(name, column) with names numbered from 1 by ``order`` and name."""
+    items = label_items(nodes, *order, F.col("name").alias("_name"))
+    return items.select(F.posexplode("items").alias("_at", "_item")).select(
+        F.col("_item._name").alias("name"), (F.col("_at") + 1).alias(column)
+    )
 
 
 def matrix_orders(counts: DataFrame, groups: DataFrame) -> DataFrame:
@@ -198,7 +209,7 @@ def matrix_orders(counts: DataFrame, groups: DataFrame) -> DataFrame:
     """
     totals = counts.groupBy(F.col("actual").alias("name")).agg(F.sum("n").alias("count"))
     nodes = totals.join(groups, "name")
-    by_name = _numbered_by(nodes, "by_name")
+    by_name = _numbered_by(nodes, "by_name", F.col("name").alias("_o"))
     by_count = _numbered_by(nodes, "by_count", (-F.col("count")).alias("_o"))
     by_group = _numbered_by(nodes, "by_group", (-F.col("group")).alias("_o"))
     return by_name.join(by_count, "name").join(by_group, "name")

@@ -9,6 +9,7 @@ from codeset.operators.evaluation import (
     MIN_CONFUSION,
     labels_of,
     confusion_links,
+    label_items,
     mutual_confusions,
 )
 from codeset.session import land
@@ -64,8 +65,8 @@ def confusion_groups(
     several = (
         roots.groupBy("root").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     )
-    numbers = several.agg(F.array_sort(F.collect_list("root")).alias("_roots")).select(
-        F.posexplode("_roots").alias("_at", "root")
+    numbers = label_items(several, "root").select(
+        F.posexplode("items").alias("_at", "root")
     )
     return roots.join(numbers, "root", "left").select(
         "name", F.coalesce(F.col("_at") + 1, F.lit(0)).alias("group")
