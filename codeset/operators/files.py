@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -109,15 +111,15 @@ def rank_files(
     )
 
 
-def dedup_files(files: DataFrame) -> DataFrame:
-    """One file per content: the first by repository and name.
+def dedup_files(files: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """One file per content: the first by ``order``, repository and name.
 
     The minimum is combined before the shuffle, so a licence text copied into
     every repository costs one row per task.
     """
-    first = ["repository_dirname", "filename", "dedup_key"]
-    rest = [c for c in files.columns if c not in first]
-    smallest = F.min(F.struct("repository_dirname", "filename", *rest))
+    first = [*order, "repository_dirname", "filename"]
+    rest = [c for c in files.columns if c not in (*first, "dedup_key")]
+    smallest = F.min(F.struct(*first, *rest))
     return (
         files.groupBy("dedup_key")
         .agg(smallest.alias("_file"))

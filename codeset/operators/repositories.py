@@ -55,7 +55,11 @@ def normalise_language(repos: DataFrame, dictionary: Dictionary) -> DataFrame:
 def merge_repo_lists(
     *lists: DataFrame, order: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per repository name; earlier lists win, then ``order``."""
+    """One row per repository name; earlier lists win, then ``order``.
+
+    Without ``order`` (columns of all lists that tell their rows' order), the
+    first language by name is kept inside a list.
+    """
     ranked = [
         repos.select(*REPOSITORY, *order, F.lit(i).alias("_list"))
         for i, repos in enumerate(lists)

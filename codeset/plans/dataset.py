@@ -66,10 +66,23 @@ def choose_repositories(
     return require_any(land(prepared, "repo_prepared"))
 
 
-def unique_files(files: DataFrame, settings: Settings) -> DataFrame:
-    """Listed files to ranked files of unique content, landed."""
+def unique_files(
+    files: DataFrame, settings: Settings, prior: DataFrame | None = None
+) -> DataFrame:
+    """Listed files to ranked files of unique content, landed.
+
+    Among files of one content, one that an earlier run extracted is kept.
+    """
     ranked = rank_files(files, settings.dictionary, seed=settings.seed)
-    return land(dedup_files(ranked), "unique_files")
+    if prior is None:
+        return land(dedup_files(ranked), "unique_files")
+    old = prior.where(F.col("status") == EXTRACTED).select(
+        "extract_to", F.lit(0).alias("_new")
+    )
+    marked = ranked.join(old, "extract_to", "left").withColumn(
+        "_new", F.coalesce("_new", F.lit(1))
+    )
+    return land(dedup_files(marked, ["_new"]).drop("_new"), "unique_files")
 
 
 def with_usage(files: DataFrame, settings: Settings) -> DataFrame:
@@ -93,8 +106,13 @@ def choose_files(
     prior: DataFrame | None = None,
     outputs: DataFrame | None = None,
 ) -> DataFrame:
-    """Listed files with an ``ok`` flag to files with usage and status."""
-    plan = with_usage(unique_files(files, settings), settings)
+    """Listed files with an ``ok`` flag to files with usage and status.
+
+    Files of an earlier run that are gone do not count towards the quotas.
+    """
+    plan = with_usage(unique_files(files, settings, prior), settings)
+    if prior is not None:
+        prior = prior.join(plan.select("extract_to"), "extract_to", "left_semi")
     if prior is not None or outputs is not None:
         plan = land(reconcile(plan, prior, outputs), "files_reconciled")
     return select_quota(plan, settings.dictionary, settings.quotas)
@@ -119,7 +137,9 @@ def build_dataset(
     """Downloaded repositories and file bytes to (files with status, texts).
 
     ``repos`` has repository_dirname, repository_language; ``contents`` has
-    repository_dirname, filename, content.
+    repository_dirname, filename, content.  The texts are those of all
+    extracted files, also of earlier runs: a repository's usage changes when
+    more repositories join its language, and no repository may be in two splits.
     """
     facts = describe_contents(contents)
     # Two repository names may share a directory; it counts as one repository.

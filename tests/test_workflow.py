@@ -118,6 +118,39 @@ def test_a_second_run_adds_to_the_first(settings, catalog, contents, built):
     assert new.count() > old.count()
 
 
+def test_copies_in_new_repositories_do_not_replace_old_files(
+    spark, settings, catalog, contents, built
+):
+    files, _ = built
+    old = files.where(F.col("status") == EXTRACTED).select("extract_to", "dedup_key")
+    repos = dataset.choose_repositories(catalog, settings)
+    repos = repos.select("repository_dirname", "repository_language")
+    # a copy of every repository of one language, first in name order
+    copied = contents.where("repository_dirname like 'lang_py%'").withColumn(
+        "repository_dirname", F.concat(F.lit("a_"), "repository_dirname")
+    )
+    more = copied.select("repository_dirname").distinct()
+    more = more.withColumn("repository_language", F.lit("Python"))
+    again, texts = dataset.build_dataset(
+        repos.unionByName(more), contents.unionByName(copied), settings, prior=files
+    )
+    assert checks.check_unique(again).isEmpty()
+    assert checks.check_one_split(again).isEmpty()
+    now = again.where(F.col("status") == EXTRACTED).select("extract_to", "dedup_key")
+    assert old.join(now, ["extract_to", "dedup_key"], "left_anti").isEmpty()
+    assert texts.select("text").distinct().count() == texts.count()
+
+
+def test_files_that_are_gone_do_not_count(settings, catalog, contents, built):
+    files, _ = built
+    repos = dataset.choose_repositories(catalog, settings)
+    gone = "src/C/unicode_00.c"
+    left = contents.where(F.col("filename") != gone)
+    again, _ = dataset.build_dataset(repos, left, settings, prior=files)
+    assert again.where(F.col("filename") == gone).isEmpty()
+    assert checks.check_quota(again, settings.dictionary, settings.quotas).isEmpty()
+
+
 def test_strict_settings(spark, settings, catalog, contents):
     strict = Settings(
         repositories=REPOSITORIES, quotas=settings.quotas, strict=True
