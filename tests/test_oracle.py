@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry_module
 import check_oracle
+from verification.oracle import ORACLE_SQL
+from verification.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -13,7 +15,7 @@ def database():
     return check_oracle.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, database, name):
     rows, _, problem = check_oracle.compare(spark, database, name, SF_DIR)
     assert problem is None
@@ -21,7 +23,7 @@ def test_query_equals_sql(spark, database, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.oracle_sql()) == set(entry_module.queries())
+    assert set(ORACLE_SQL) == set(QUERIES)
 
 
 def test_entry(spark):
