@@ -57,6 +57,8 @@ class _Parser:
 
     def atom(self):
         char = self.rest.pop()
+        if char in "?*+{":
+            raise ValueError(f"nothing to repeat before {char!r}")
         if char == "(":
             node = self.choice()
             if not self.rest or self.rest.pop() != ")":

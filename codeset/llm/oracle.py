@@ -1,3 +1,113 @@
-"""SQL for the queries whose results SQL can express."""
+"""SQL for the queries whose results SQL can express.
+
+The others are tested against brute force: positions of matches, tokens,
+fingerprints, learnt scores, keyed hashes and linear programs have no SQL.
+"""
+
+from codeset.llm.quality_rules import ERROR, RISK, RULES
 
 ORACLE_SQL: dict[str, str] = {}
+
+ORACLE_SQL["op2_topk_search"] = """
+WITH vectors AS (
+    SELECT vec_id,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS ints
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(coalesce(list_sum(list_transform(
+               range(1, least(len(q.ints), len(c.ints)) + 1), lambda i: q.ints[i] * c.ints[i]
+           )), 0) AS BIGINT) AS score
+    FROM vectors q JOIN vectors c ON c.vec_id <> q.vec_id
+    WHERE q.vec_id % 50 = 0
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (
+        PARTITION BY query_id ORDER BY score DESC, vec_id
+    ) AS INTEGER) AS rank
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+# Measures by joins of exploded words, not by hashes; binomial sums by lgamma.
+_MEASURES = r"""
+WITH documents_ AS (
+    SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text FROM documents
+), words AS (
+    SELECT doc_id, stratum, text,
+           list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+           list_filter(string_split(text, chr(10)),
+                       lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents_
+), windows AS (
+    SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS window_
+    FROM words, LATERAL (SELECT unnest(range(1, len(words) - 6)) AS i)
+), twins AS (
+    SELECT doc_id, i FROM windows
+    QUALIFY count(*) OVER (PARTITION BY doc_id, window_) > 1
+), covered AS (
+    SELECT doc_id, count(DISTINCT i + step) AS n_repeat_words
+    FROM twins, LATERAL (SELECT unnest(range(0, 8)) AS step)
+    GROUP BY doc_id
+), measured AS (
+    SELECT doc_id, stratum,
+           CAST(len(words) AS BIGINT) AS n_words,
+           CAST(coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
+           CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+           CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+           CAST(length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS BIGINT) AS n_upper,
+           CAST(length(text) - length(regexp_replace(text, '!', '', 'g')) AS BIGINT) AS n_marks,
+           CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+           len(words) < 20 OR 100 * coalesce(n_repeat_words, 0) > 30 * len(words) AS base_failed
+    FROM words LEFT JOIN covered USING (doc_id)
+), quality_ AS (
+    SELECT doc_id, min(quality) AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id
+), held AS (
+    SELECT * FROM measured JOIN quality_ USING (doc_id) WHERE NOT base_failed
+), rules(rule, place, cutoff) AS (VALUES {cutoffs})
+"""
+
+
+def _quality_sql() -> str:
+    cutoffs = ", ".join(
+        f"({r}, {c}, CAST({float(cutoff)!r} AS DOUBLE))"
+        for r, rule in enumerate(RULES)
+        for c, cutoff in enumerate(rule.cutoffs)
+    )
+    value = "CASE rule " + " ".join(
+        f"WHEN {r} THEN {rule.measure}" for r, rule in enumerate(RULES)
+    ) + " END"
+    share = RISK / len(RULES)
+    return _MEASURES.replace("{cutoffs}", cutoffs) + f"""
+, counts AS (
+    SELECT stratum, rule, place, cutoff, sum(good) AS n,
+           count(*) FILTER (WHERE good = 1 AND {value} > cutoff) AS k,
+           count(*) FILTER (WHERE good = 0 AND {value} > cutoff) AS caught
+    FROM held, rules GROUP BY ALL
+), strata AS (
+    SELECT count(DISTINCT stratum) AS strata FROM held
+), tests AS (
+    SELECT stratum, rule, place, cutoff, caught,
+           k <= n * {share!r} AND coalesce(list_sum(list_transform(range(0, k + 1), lambda i: exp(
+               lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
+               + i * ln({share!r}) + (n - i) * ln(1 - {share!r})
+           ))), 0) <= {ERROR / len(RULES)!r} / strata AS passed
+    FROM counts, strata
+), certified AS (
+    SELECT * FROM tests
+    QUALIFY bool_and(passed) OVER (PARTITION BY stratum, rule ORDER BY place)
+), chosen AS (
+    SELECT stratum, rule, cutoff FROM certified WHERE caught > 0
+    QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY caught DESC, place) = 1
+), rejected AS (
+    SELECT DISTINCT doc_id FROM measured JOIN chosen USING (stratum) WHERE {value} > cutoff
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND rejected.doc_id IS NULL AS kept
+FROM measured LEFT JOIN rejected USING (doc_id)
+"""
+
+
+ORACLE_SQL["op7_quality_rules"] = _quality_sql()

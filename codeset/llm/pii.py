@@ -247,9 +247,8 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     Kinds: e-mail and IPv4 addresses, calendar days (1900 to 2099), social
     security and phone numbers by form; bank accounts and cards if their check
     digits are right, with right ones afterwards.  What fails its check stays.
-    Null and empty texts stay; other columns, also ones with equal names of
-    counts, are kept as the input has them except that counts win.  ``key`` is
-    the secret.  Texts without a digit or @ are not searched further, and
+    Null and empty texts and other columns stay, but for columns with the
+    names of the counts, which are replaced.  ``key`` is the secret.  Texts without a digit or @ are not searched further, and
     nothing is shuffled.
     """
     source = F.col(text)

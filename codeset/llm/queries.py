@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from codeset.llm import (
+    line_crf,
+    mixing,
     packing,
     pii,
     quality_rules,
@@ -14,13 +17,13 @@ from codeset.llm import (
     sharding,
     simhash,
     token_files,
+    topk,
 )
 from codeset.llm.tokens import vocabulary_path
 from codeset.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-PII_KEY = "a key of the operator's choice"  # production takes it from a secret store
 
 
 def query(make: Query) -> Query:
@@ -42,6 +45,23 @@ def op1_secret_scan(spark, sf_dir):
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_topk_search(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op3_quality_crf(spark, sf_dir):
+    return line_crf.score_quality(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
+@query
+def op4_source_mixing(spark, sf_dir):
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary_path())
@@ -63,7 +83,7 @@ def op7_quality_rules(spark, sf_dir):
 def op8_pii_pseudonyms(spark, sf_dir):
     """(doc_id, text with pseudonyms, number of each kind) of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.pseudonymise(docs, PII_KEY)
+    return pii.pseudonymise(docs, corpus_pipeline.PII_KEY)
 
 
 @query
@@ -77,3 +97,6 @@ def op10_token_files(spark, sf_dir):
         table(spark, sf_dir, "documents"), vocabulary_path()
     )
     return token_files.read_token_files(manifest)
+
+
+QUERIES["pipeline"] = corpus_pipeline.run

@@ -74,7 +74,7 @@ def shard_documents(
     differ by one at most.  Dimensions are the cells of ``names`` and of the
     size in bytes.  Equal texts count as one group, with the smallest of its
     names, so they follow each other on the curve and only a cut divides
-    them.  A null text has no bytes; null names sort as empty ones; repeated
+    them; the cells returned are those of the row's own names.  A null text has no bytes; null names sort as empty ones; repeated
     rows get slots of their own; no rows give no shards; other columns are
     left out.  Only narrow rows are shuffled, never texts.
     """
@@ -91,13 +91,10 @@ def shard_documents(
     )
     group = ["_text", "text_crc32", "size"]
     least = narrow.groupBy(*group).agg(*(F.min(f"_{name}").alias(f"_{name}") for name in names))
-    cells = [f"{name}_cell" for name in names] + ["size_cell"]
-    curved = with_curve(
-        least.withColumns({f"{name}_cell": text_cell(F.col(f"_{name}")) for name in names}
-                          | {"size_cell": size_cell("size")}),
-        cells,
-    ).select(*group, *cells, "curve")
-    rows = narrow.select(key, *group).join(curved, group)
+    cells = {f"{name}_cell": text_cell(F.col(f"_{name}")) for name in names}
+    cells["size_cell"] = size_cell("size")
+    curved = with_curve(least.withColumns(cells), list(cells)).select(*group, "curve")
+    rows = narrow.join(curved, group)
     order = ["curve", *group, F.col(key).asc_nulls_first()]
     sliced = rows.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id())
     ordered = numbered(land(sliced, "curve-order"), [], ["_slice"], order, "_position")
@@ -107,6 +104,7 @@ def shard_documents(
     return (
         place.withColumn("shard", shard.cast("int"))
         .withColumn("slot", F.col("_place") - begin)
+        .withColumns(cells)
         .select(
             key, "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
             F.lit(None).cast("int").alias("grown_shard"), *cells, "curve",

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 END_ID = 1  # closes each document
-MAX_CHUNKS = 700_000  # remembered; later ones are encoded in each batch anew
+MAX_CHUNKS = 400_000  # remembered; later ones are encoded in each batch anew
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:

@@ -1,0 +1,92 @@
+"""The pipeline's stages against brute force, each on its own input."""
+
+from collections import Counter
+
+import pytest
+
+import __spark_entry__ as entry_module
+import corpus_pipeline
+from codeset.llm import mixing, pii, quality_rules
+from codeset.session import land
+from test_simhash import brute_fingerprint, brute_groups
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def stages(spark, documents):
+    """The input and the result of each stage."""
+    found, docs = {}, documents
+    for name, stage in corpus_pipeline.STAGES:
+        after = land(stage(spark, docs, SF_DIR), name)
+        found[name], docs = (docs, after), after
+    return found
+
+
+def by_id(df):
+    return {row["doc_id"]: row for row in df.collect()}
+
+
+def test_columns(stages, documents):
+    for name, (_, after) in stages.items():
+        if name != "packing":
+            assert after.schema.simpleString() == documents.schema.simpleString()
+
+
+def test_quality_rules(spark, stages):
+    before, after = stages["quality_rules"]
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    kept = quality_rules.judge(before, labels).where("kept")
+    assert by_id(after).keys() == by_id(kept).keys()
+    assert {k: v["text"] for k, v in by_id(after).items()}.items() <= {
+        k: v["text"] for k, v in by_id(before).items()
+    }.items()
+
+
+def test_near_copies(stages):
+    before, after = (by_id(df) for df in stages["simhash_near_dedup"])
+    prints = {k: brute_fingerprint(row["text"], corpus_pipeline.SHINGLE) for k, row in before.items()}
+    groups = brute_groups(prints, corpus_pipeline.MAX_BITS)
+    assert after.keys() == set(groups.values())
+    assert all(after[k] == before[k] for k in after)
+
+
+def test_personal_data(stages):
+    before, after = stages["pii_pseudonyms"]
+    want = by_id(pii.pseudonymise(before.select("doc_id", "text"), corpus_pipeline.PII_KEY))
+    old, new = by_id(before), by_id(after)
+    assert new.keys() == old.keys()
+    for key, row in new.items():
+        assert row["text"] == want[key]["text"]
+        same = row["text"] == old[key]["text"]
+        assert row["n_chars"] == (old[key]["n_chars"] if same else len(row["text"]))
+        assert (row["lang"], row["source"]) == (old[key]["lang"], old[key]["source"])
+
+
+def test_mixture(stages):
+    before, after = stages["source_mixing"]
+    kept = by_id(mixing.mixture(before).where("kept"))
+    old, new = by_id(before), by_id(after)
+    assert new.keys() == kept.keys() and all(new[k] == old[k] for k in new)
+
+
+def test_packing(stages):
+    before, after = stages["packing"]
+    lengths = Counter()
+    tokens = {}
+    for row in after.collect():
+        lengths[row["doc_id"]] += row["length"]
+        tokens[row["doc_id"]] = row["doc_tokens"]
+    assert lengths == tokens and lengths.keys() == by_id(before).keys()
+
+
+def test_registered():
+    names = list(entry_module.queries())
+    for n in range(1, 11):
+        assert sum(name.startswith(f"op{n}_") for name in names) == 1
+    assert "pipeline" in names
+
+
+def test_run(spark, stages):
+    rows = entry_module.queries()["pipeline"](spark, SF_DIR)
+    assert rows.count() == stages["packing"][1].count()
