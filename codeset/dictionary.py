@@ -187,8 +187,8 @@ ALIASES = {
 # End of the fixed values.
 # ---------------------------------------------------------------------------
 
-# A dictionary is broadcast, so its size is checked when it is made.
-MAX_ENTRIES = 100_000
+# Dictionaries of up to this many entries are broadcast.
+MAX_BROADCAST_ENTRIES = 100_000
 
 
 @dataclass(frozen=True, eq=False)
@@ -201,12 +201,6 @@ class Dictionary:
     aliases: dict[str, list[str]]
 
     def __post_init__(self):
-        sizes = [len(self.primary)] + [
-            sum(map(len, table.values()))
-            for table in (self.extensions, self.file_names, self.aliases)
-        ]
-        if sum(sizes) > MAX_ENTRIES:
-            raise ValueError(f"dictionary with more than {MAX_ENTRIES} entries")
         for alias, owners in _owners(self.aliases).items():
             if len(owners) > 1:
                 raise ValueError(f"alias {alias!r} belongs to {owners}")
@@ -222,8 +216,15 @@ class Dictionary:
     def languages(self) -> list[str]:
         return list(self.primary)
 
-    # The frames below have at most MAX_ENTRIES rows, so joins broadcast them.
-    # They are made once per session.
+    def small(self, df: DataFrame) -> DataFrame:
+        """Mark a frame of this dictionary for broadcast if its size allows."""
+        sizes = [len(self.primary)] + [
+            sum(map(len, table.values()))
+            for table in (self.extensions, self.file_names, self.aliases)
+        ]
+        return F.broadcast(df) if sum(sizes) <= MAX_BROADCAST_ENTRIES else df
+
+    # The frames below are made once per session.
 
     @cache
     def languages_df(self, spark: SparkSession) -> DataFrame:
@@ -322,6 +323,8 @@ def one_of(column: str, values: Sequence[str]) -> Column:
 
     As SQL text: ``isin`` costs a JVM call per value.
     """
+    if not values:
+        return F.lit(False)
     escaped = (v.replace("\\", "\\\\").replace("'", "\\'") for v in values)
     literals = ", ".join(f"'{v}'" for v in escaped)
     return F.expr(f"{column} IN ({literals})")

@@ -31,6 +31,12 @@ def basename(path: str | Column) -> Column:
     return F.substring_index(path, "/", -1)
 
 
+def suffix(path: str | Column) -> Column:
+    """What follows the last dot of a file's name, as it is; '' for none and for dot files."""
+    name = basename(path)
+    return F.regexp_extract(name, r"(?s)^.+\.([^.]+)$", 1)
+
+
 def extension(path: str | Column) -> Column:
     """Lower-case suffix without its dot; '' for none and for dot files."""
     name = basename(path)

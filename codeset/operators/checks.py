@@ -75,7 +75,7 @@ def check_suffix(files: DataFrame, dictionary: Dictionary) -> DataFrame:
     """Files whose output name lacks the primary extension of the language."""
     languages = dictionary.languages_df(files.sparkSession)
     return (
-        files.join(F.broadcast(languages), "language")
+        files.join(dictionary.small(languages), "language")
         .where(extension("extract_to") != F.col("primary_ext"))
         .select("language", "extract_to")
     )

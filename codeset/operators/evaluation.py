@@ -7,20 +7,18 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from codeset.dictionary import Dictionary
-from codeset.functions.naming import extension
+from codeset.functions.naming import suffix
+from codeset.operators.ranking import numbered_in_order
 
 # The results depend on exactly these.
 MIN_CONFUSION = 0.02
 EPSILON = 1e-16
 REPORT_TYPE = "map<string,map<string,bigint>>"
 
-# Tables of label by label are made for at most this many labels.
-MAX_LABELS = 1000
-
 # A scorer takes texts and returns one {class: probability} per text.
 Scorer = Callable[[list[str]], list[dict[str, float]]]
 
@@ -28,11 +26,12 @@ Scorer = Callable[[list[str]], list[dict[str, float]]]
 def label_by_extension(
     files: DataFrame, dictionary: Dictionary, name: str = "name"
 ) -> DataFrame:
-    """Add ``label`` from the file's suffix; other files are left out."""
+    """Add ``label`` from the file's suffix, case counts; others are left out."""
     labels = dictionary.languages_df(files.sparkSession).select(
         F.col("language").alias("label"), F.col("primary_ext").alias("_ext")
     )
-    return files.join(F.broadcast(labels), extension(name) == F.col("_ext")).drop("_ext")
+    labels = dictionary.small(labels)
+    return files.join(labels, suffix(name) == F.col("_ext")).drop("_ext")
 
 
 def score_files(
@@ -91,29 +90,11 @@ def unpivot_report(report: DataFrame, classes: Sequence[str]) -> DataFrame:
     )
 
 
-def label_items(labels: DataFrame, *columns: str | Column) -> DataFrame:
-    """One row with the sorted array ``items`` of a table of labels.
-
-    Several columns give structs.  The limit only keeps the check of the size
-    from collecting more; a table that it would cut fails.
-    """
-    item = F.struct(*columns) if len(columns) > 1 else columns[0]
-    return (
-        labels.limit(MAX_LABELS + 1)
-        .agg(F.array_sort(F.collect_list(item)).alias("items"))
-        .select(
-            F.when(F.size("items") <= MAX_LABELS, F.col("items"))
-            .otherwise(F.raise_error(F.lit(f"more than {MAX_LABELS} labels")))
-            .alias("items")
-        )
-    )
-
-
 def label_index(labels: DataFrame) -> DataFrame:
     """(label, index) with labels numbered from 0 in name order."""
     distinct = labels.select("label").distinct()
-    return label_items(distinct, "label").select(
-        F.posexplode("items").alias("index", "label")
+    return numbered_in_order(distinct, ["label"]).select(
+        (F.col("position") - 1).cast("int").alias("index"), "label"
     )
 
 
@@ -124,18 +105,8 @@ def labels_of(counts: DataFrame) -> DataFrame:
 
 
 def confusion_counts(predictions: DataFrame) -> DataFrame:
-    """How often each label was predicted as each label, zeros included."""
-    counts = predictions.groupBy("actual", "predicted").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    grid = (
-        label_items(labels_of(counts), "label")
-        .select(F.explode("items").alias("actual"), "items")
-        .select("actual", F.explode("items").alias("predicted"))
-    )
-    return grid.join(counts, ["actual", "predicted"], "left").select(
-        "actual", "predicted", F.coalesce("n", F.lit(0)).alias("n")
-    )
+    """How often each label was predicted as each label, where it ever was."""
+    return predictions.groupBy("actual", "predicted").agg(F.count(F.lit(1)).alias("n"))
 
 
 def confusion_shares(counts: DataFrame) -> DataFrame:
@@ -169,8 +140,9 @@ def mutual_confusions(counts: DataFrame, min_share: float = MIN_CONFUSION) -> Da
 
 
 def confusion_matrix(counts: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """One row per actual label, one column per predicted label."""
-    return counts.groupBy("actual").pivot("predicted", list(labels)).agg(F.sum("n"))
+    """One row per actual label, one column per predicted label, zeros included."""
+    cells = counts.groupBy("actual").pivot("predicted", list(labels)).agg(F.sum("n"))
+    return cells.na.fill(0)
 
 
 def matrix_cells(counts: DataFrame, groups: DataFrame) -> DataFrame:
@@ -193,26 +165,25 @@ def matrix_cells(counts: DataFrame, groups: DataFrame) -> DataFrame:
     )
 
 
-def _numbered_by(nodes: DataFrame, column: str, *order: Column) -> DataFrame:
-    """(name, column) with names numbered from 1 by ``order`` and name."""
-    items = label_items(nodes, *order, F.col("name").alias("_name"))
-    return items.select(F.posexplode("items").alias("_at", "_item")).select(
-        F.col("_item._name").alias("name"), (F.col("_at") + 1).alias(column)
-    )
-
-
 def matrix_orders(counts: DataFrame, groups: DataFrame) -> DataFrame:
     """Positions of the labels by name, by row total and by group.
 
-    Totals and groups go down; equal ones are in name order.  The three sorts
-    are over the labels, not over the predictions.
+    Totals and groups go down; equal ones are in name order.
     """
-    totals = counts.groupBy(F.col("actual").alias("name")).agg(F.sum("n").alias("count"))
-    nodes = totals.join(groups, "name")
-    by_name = _numbered_by(nodes, "by_name", F.col("name").alias("_o"))
-    by_count = _numbered_by(nodes, "by_count", (-F.col("count")).alias("_o"))
-    by_group = _numbered_by(nodes, "by_group", (-F.col("group")).alias("_o"))
-    return by_name.join(by_count, "name").join(by_group, "name")
+    totals = counts.groupBy(F.col("actual").alias("name")).agg(F.sum("n").alias("_n"))
+    nodes = groups.join(totals, "name", "left").select(
+        "name", (-F.coalesce("_n", F.lit(0))).alias("_count"), (-F.col("group")).alias("_group")
+    )
+
+    def places(column: str, *order: str) -> DataFrame:
+        numbers = numbered_in_order(nodes, [*order, "name"])
+        return numbers.select("name", F.col("position").cast("int").alias(column))
+
+    return (
+        places("by_name")
+        .join(places("by_count", "_count"), "name")
+        .join(places("by_group", "_group"), "name")
+    )
 
 
 def read_report(reports: DataFrame, column: str = "value") -> DataFrame:
@@ -225,20 +196,10 @@ def read_report(reports: DataFrame, column: str = "value") -> DataFrame:
 
 
 def report_json(counts: DataFrame) -> DataFrame:
-    """One row with the counts as a JSON report ``{actual: {predicted: n}}``."""
-    rows = counts.groupBy("actual").agg(
-        F.array_sort(F.collect_list(F.struct("predicted", "n"))).alias("_row")
-    )
-    whole = F.array_sort(F.collect_list(F.struct("actual", "_row")))
-    return rows.agg(whole.alias("_rows")).select(
-        F.to_json(
-            F.map_from_entries(
-                F.transform(
-                    "_rows",
-                    lambda r: F.struct(r["actual"], F.map_from_entries(r["_row"])),
-                )
-            )
-        ).alias("value")
+    """One row of JSON ``{actual: {predicted: n}}`` per actual label."""
+    cells = F.array_sort(F.collect_list(F.struct("predicted", "n")))
+    return counts.groupBy("actual").agg(cells.alias("_cells")).select(
+        F.to_json(F.create_map("actual", F.map_from_entries("_cells"))).alias("value")
     )
 
 

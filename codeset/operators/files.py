@@ -41,7 +41,7 @@ def resolve_language(files: DataFrame, dictionary: Dictionary) -> DataFrame:
 
     A name with several owners counts only if the repository's language is
     among them.  Look-ups carry the owners as an array, so rows never multiply;
-    both tables are bounded by the dictionary and broadcast.
+    both tables are bounded by the dictionary and broadcast if it is small.
     """
     spark = files.sparkSession
     by_name = dictionary.file_name_owners_df(spark).select(
@@ -59,9 +59,9 @@ def resolve_language(files: DataFrame, dictionary: Dictionary) -> DataFrame:
 
     return (
         files.join(
-            F.broadcast(by_name), basename("filename") == F.col("_name"), "left"
+            dictionary.small(by_name), basename("filename") == F.col("_name"), "left"
         )
-        .join(F.broadcast(by_ext), extension("filename") == F.col("_ext"), "left")
+        .join(dictionary.small(by_ext), extension("filename") == F.col("_ext"), "left")
         .withColumn("language", F.coalesce(owner("_name_owners"), owner("_ext_owners")))
         .drop("_name", "_name_owners", "_ext", "_ext_owners")
     )
@@ -104,7 +104,7 @@ def rank_files(
     languages = dictionary.languages_df(files.sparkSession)
     return (
         ranked.join(
-            F.broadcast(languages.select("language", "primary_ext")), "language"
+            dictionary.small(languages.select("language", "primary_ext")), "language"
         )
         .withColumn("extract_to", output_name("primary_ext"))
         .drop("primary_ext")

@@ -9,9 +9,9 @@ from codeset.operators.evaluation import (
     MIN_CONFUSION,
     labels_of,
     confusion_links,
-    label_items,
     mutual_confusions,
 )
+from codeset.operators.ranking import numbered_in_order
 from codeset.session import land
 
 
@@ -55,9 +55,9 @@ def confusion_groups(
     """(name, group): labels linked by mutual confusion share a group.
 
     Group 0 takes all labels that stand alone; the others are numbered from 1
-    in the order of their smallest label.
+    in the order of their smallest label.  The call runs jobs and writes to
+    the shared folder; ``counts`` is read several times, so give a stored table.
     """
-    counts = land(counts, "counts")
     labels = labels_of(counts)
     pairs = mutual_confusions(counts, min_share)
     edges = pairs.select(F.col("actual").alias("a"), F.col("predicted").alias("b"))
@@ -65,11 +65,9 @@ def confusion_groups(
     several = (
         roots.groupBy("root").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     )
-    numbers = label_items(several, "root").select(
-        F.posexplode("items").alias("_at", "root")
-    )
+    numbers = numbered_in_order(several.select("root"), ["root"])
     return roots.join(numbers, "root", "left").select(
-        "name", F.coalesce(F.col("_at") + 1, F.lit(0)).alias("group")
+        "name", F.coalesce("position", F.lit(0)).cast("int").alias("group")
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codeset.operators.ranking import slice_totals
-from codeset.session import land
+from codeset.session import broadcast_if_small, land
 
 SMALLEST = 5e-324  # the smallest positive double
 SLICES_PER_DOUBLING = 128  # of the distance; at most 150,000 slices in all
@@ -51,7 +51,8 @@ def quantiles(
     """Interpolated quantiles: one array column ``quantiles`` per group.
 
     Sums per slice tell which slices hold the wanted positions; only these
-    slices' values are sorted.
+    slices' values are sorted.  The few wanted slices are landed, so the call
+    runs jobs, and the values are not shuffled to find them.
     """
     group = list(group)
     each = F.explode(
@@ -89,6 +90,7 @@ def quantiles(
     )
     inside = Window.partitionBy(*group, "_slice").orderBy("value")
     upto = F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    wanted = broadcast_if_small(land(wanted, "wanted"))
     found = (
         counts.join(wanted, [*group, "_slice"])
         .withColumn("_upto", upto)
@@ -133,6 +135,7 @@ def box_stats(probs: DataFrame) -> DataFrame:
         F.col("quantiles")[1].alias("median"),
         F.col("quantiles")[2].alias("q3"),
     )
+    boxes = broadcast_if_small(land(boxes, "boxes"))
     reach = (F.col("q3") - F.col("q1")) * WHISKER_REACH
     return (
         counts.join(boxes, group)

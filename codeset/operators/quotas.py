@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from codeset.dictionary import Dictionary, known_language
+from codeset.functions.naming import content_key, suffix
 from codeset.functions.order import DEFAULT_SEED, shuffle_key, slice_of
 from codeset.operators.ranking import first_n, slice_totals
 from codeset.operators.splits import USAGES, Quotas
@@ -195,25 +196,37 @@ def chosen_content(
     content: DataFrame,
     keys: Sequence[str] = ("repository_dirname", "filename"),
     max_broadcast: int = MAX_BROADCAST_FILES,
+    same_content: bool = False,
 ) -> DataFrame:
     """Content rows of the chosen files, with the chosen files' columns.
 
     The bytes are the bulk of the data, so unwanted rows are dropped before
     they are shuffled, by a broadcast of the chosen keys' 8-byte hashes.  The
-    chosen files are counted first (give a stored table); above
-    ``max_broadcast`` both sides are shuffled instead.
+    chosen files are counted first (give a stored table); of more than
+    ``max_broadcast`` files the contents are scanned once for each part of the
+    hashes.  With ``same_content`` the bytes must have the chosen
+    ``dedup_key``, as two repositories may share a directory name.
     """
     keys = list(keys)
     hashed = F.xxhash64(*keys)
-    if chosen.limit(max_broadcast + 1).count() <= max_broadcast:
-        wanted = chosen.select(hashed.alias("_key"))
-        content = (
+    parts = max(1, -(-chosen.count() // max(1, max_broadcast)))
+    wanted = chosen.select(hashed.alias("_key"))
+    found = None
+    for part in range(parts):
+        inside = F.pmod("_key", F.lit(parts)) == part
+        rows = (
             content.withColumn("_key", hashed)
-            .join(F.broadcast(wanted), "_key", "left_semi")
+            .where(inside)
+            .join(F.broadcast(wanted.where(inside)), "_key", "left_semi")
             .drop("_key")
         )
+        found = rows if found is None else found.unionByName(rows)
     extra = [c for c in content.columns if c not in chosen.columns]
-    return chosen.join(content.select(*keys, *extra), keys)
+    if same_content:
+        found = found.withColumn("dedup_key", content_key("content"))
+        keys.append("dedup_key")
+        found = found.dropDuplicates(keys)  # copies under one name
+    return chosen.join(found.select(*keys, *extra), keys)
 
 
 def dataset_rows(extracted: DataFrame) -> DataFrame:
@@ -234,10 +247,9 @@ def subset_training(
         "language", F.col("primary_ext").alias("_suffix")
     )
     own = [c for c in names.columns if c != "language"]
-    suffix = F.substring_index("name", ".", -1)
     labelled = (
         names.select(*own)
-        .join(F.broadcast(languages), suffix == F.col("_suffix"))
+        .join(dictionary.small(languages), suffix("name") == F.col("_suffix"))
         .withColumn("_h", shuffle_key("name", seed=seed))
     )
     return first_n(labelled, ["language"], ["_h", "name"], n).drop(

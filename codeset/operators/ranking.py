@@ -8,11 +8,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from codeset.session import land
+
 # Tasks a hot group is spread over before its final top-n.
 SPREAD = 64
+_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
+def limit_before_shuffle(spark: SparkSession, n: int) -> None:
+    """Let a top-n of ``n`` rows run before its shuffle; Spark does so up to a limit."""
+    if int(spark.conf.get(_LIMIT)) < n:
+        spark.conf.set(_LIMIT, str(n))
 
 
 def first_n(
@@ -26,20 +35,24 @@ def first_n(
     """The first ``n`` rows of each group, numbered from 1 in ``rank``.
 
     The first pass keeps the first ``n`` rows of each (group, share), where
-    the share comes from the input partition: the limit then runs before the
-    shuffle, and a hot group is split over ``spread`` tasks.  The second pass
-    sees at most ``spread * n`` rows per group.  Any assignment of rows to
-    shares gives the same result.
+    the share is a hash of the order: the limit runs before the shuffle, and
+    a hot group is split over ``spread`` tasks.  The second pass sees at most
+    ``spread * n`` rows per group.  The windows run over the group as one
+    struct, so that an input partitioned by its columns, as after a join, does
+    not pass for one that is spread already.
     """
-    share = Window.partitionBy(*group, "_share").orderBy(*order)
-    whole = Window.partitionBy(*group).orderBy(*order)
+    limit_before_shuffle(df.sparkSession, n)
+    share = Window.partitionBy("_group", "_share").orderBy(*order)
+    whole = Window.partitionBy("_group").orderBy(*order)
     return (
-        df.withColumn("_share", F.spark_partition_id() % F.lit(spread))
+        df.withColumn("_group", F.struct(*group))
+        .withColumn("_share", F.pmod(F.xxhash64(*order), F.lit(spread)))
         .withColumn("_place", F.row_number().over(share))
         .where(F.col("_place") <= n)
         .drop("_share", "_place")
         .withColumn(rank, F.row_number().over(whole))
         .where(F.col(rank) <= n)
+        .drop("_group")
     )
 
 
@@ -86,3 +99,15 @@ def numbered(
         .withColumn(position, F.col("before") + F.col("_place"))
         .drop("_place", "in_slice", "before")
     )
+
+
+def numbered_in_order(
+    df: DataFrame, order: Sequence[str | Column], position: str = "position"
+) -> DataFrame:
+    """Number all rows from 1 by ``order``, with their ``total``.
+
+    Rows are dealt to ranges of the order and landed; each range is sorted
+    alone and shifted by the size of the earlier ones.
+    """
+    ranges = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    return numbered(land(ranges, "ranges"), [], ["_range"], order, position).drop("_range")

@@ -15,6 +15,7 @@ from codeset.functions.naming import (
 )
 from codeset.functions.order import DEFAULT_SEED, shuffle_key
 from codeset.operators.ranking import first_n
+from codeset.session import land
 
 # The results depend on exactly these.
 HOST = "GitHub"
@@ -46,7 +47,7 @@ def normalise_language(repos: DataFrame, dictionary: Dictionary) -> DataFrame:
     named = F.when(given.isNull() | (given == ""), NO_LANGUAGE).otherwise(given)
     return (
         repos.withColumn("repository_language", named)
-        .join(F.broadcast(aliases), given == F.col("_alias"), "left")
+        .join(dictionary.small(aliases), given == F.col("_alias"), "left")
         .withColumn("repository_language", F.coalesce("_owner", given))
         .drop("_alias", "_owner")
     )
@@ -153,10 +154,13 @@ def select_more(
     dictionary: Dictionary,
     cap: int = REPOSITORIES_PER_LANGUAGE,
     seed: str = DEFAULT_SEED,
+    strict: bool = True,
 ) -> DataFrame:
     """The known repositories plus random new ones up to the cap.
 
-    Only the listed languages are topped up.
+    Only the listed languages are topped up.  If there is no new repository,
+    the call raises, unless not ``strict``; to know, it writes the new ones to
+    the shared folder.
     """
     check_languages(languages, dictionary)
     fresh = _unknown_names(candidates, known).where(
@@ -174,7 +178,10 @@ def select_more(
     new = nearest.join(
         F.broadcast(counts), "repository_language", "left"
     ).where(F.col("rank") <= missing)
-    return known.select(*REPOSITORY).unionByName(new.select(*REPOSITORY))
+    new = new.select(*REPOSITORY)
+    if strict:
+        new = require_any(land(new, "new_repositories"))
+    return known.select(*REPOSITORY).unionByName(new)
 
 
 def topup_report(
@@ -211,11 +218,11 @@ def topup_report(
     )
 
 
-def prepare_repositories(selected: DataFrame, strict: bool = False) -> DataFrame:
+def prepare_repositories(selected: DataFrame, strict: bool = True) -> DataFrame:
     """Add directory name and URL.
 
-    Names other than ``user/project`` are left out (``malformed_names`` lists
-    them), or fail the query if ``strict``.
+    Names other than ``user/project`` fail the query, or are left out if not
+    ``strict`` (``malformed_names`` lists them).
     """
     good = is_full_name("repository_name")
     if strict:

@@ -55,7 +55,10 @@ def _share(total: str, ratio: float) -> Column:
 def _numbered_repositories(
     files: DataFrame, dictionary: Dictionary, quotas: Quotas, seed: str
 ) -> DataFrame:
-    """Distinct repositories in random order with the sizes of their splits."""
+    """Distinct repositories in random order with the sizes of their splits.
+
+    Languages with fewer than ``MIN_REPOSITORIES`` cannot be split and are left out.
+    """
     repos = (
         files.where(
             known_language("repository_language", dictionary)
@@ -73,6 +76,7 @@ def _numbered_repositories(
             ["_slice"],
             ["_h", "repository_dirname"],
         )
+        .where(F.col("total") >= MIN_REPOSITORIES)
         .withColumn("nb_test", _share("total", quotas.ratio("test")))
         .withColumn("nb_valid", _share("total", quotas.ratio("valid")))
         .drop("_slice")
@@ -88,7 +92,8 @@ def split_repositories(
     """Usage of each repository that owns a file.
 
     Per repository language, in random order: test first, then valid, and
-    train takes the rest.
+    train takes the rest.  Languages that cannot be split have no usage:
+    ``split_problems`` names them, ``require_split`` raises.
     """
     usage = (
         F.when(F.col("position") <= F.col("nb_test"), "test")

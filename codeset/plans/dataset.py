@@ -10,8 +10,20 @@ from pyspark.sql import functions as F
 from codeset.dictionary import Dictionary, default_dictionary
 from codeset.functions.naming import content_key
 from codeset.functions.order import DEFAULT_SEED
-from codeset.functions.text import decode_files, flag_files
-from codeset.operators.files import dedup_files, rank_files
+from codeset.functions.text import (
+    Detector,
+    decode_files,
+    detect_encoding,
+    flag_files,
+)
+from codeset.operators.files import (
+    dedup_files,
+    new_repositories,
+    parse_file_listing,
+    rank_files,
+    resolve_language,
+    surviving_files,
+)
 from codeset.operators.quotas import (
     EXTRACTED,
     chosen_content,
@@ -24,6 +36,7 @@ from codeset.operators.repositories import (
     REPOSITORIES_PER_LANGUAGE,
     alter,
     prepare_repositories,
+    present_dirs,
     require_any,
     select_repositories,
     shrink,
@@ -43,15 +56,17 @@ from codeset.session import broadcast_if_small, land
 class Settings:
     """What a dataset should look like.
 
-    ``strict`` raises on malformed repository names and on languages that
-    cannot be split, instead of leaving them out.
+    ``strict`` raises on malformed repository names and on languages of the
+    dictionary that cannot be split; otherwise they are left out.  The
+    ``detector`` sees the bytes of planned files that are not UTF-8.
     """
 
     repositories: int = REPOSITORIES_PER_LANGUAGE
     quotas: Quotas = field(default_factory=Quotas)
     dictionary: Dictionary = field(default_factory=default_dictionary)
     seed: str = DEFAULT_SEED
-    strict: bool = False
+    strict: bool = True
+    detector: Detector = detect_encoding
 
 
 def choose_repositories(
@@ -100,17 +115,23 @@ def with_usage(files: DataFrame, settings: Settings) -> DataFrame:
     return assign_usage(files, land(cuts, "split_cuts"), settings.seed)
 
 
-def choose_files(
-    files: DataFrame,
+def planned_files(
+    files: DataFrame, settings: Settings, prior: DataFrame | None = None
+) -> DataFrame:
+    """Listed files to ranked files of unique content with a usage."""
+    return with_usage(unique_files(files, settings, prior), settings)
+
+
+def fill_quotas(
+    plan: DataFrame,
     settings: Settings,
     prior: DataFrame | None = None,
     outputs: DataFrame | None = None,
 ) -> DataFrame:
-    """Listed files with an ``ok`` flag to files with usage and status.
+    """Planned files with an ``ok`` flag to files with a status.
 
     Files of an earlier run that are gone do not count towards the quotas.
     """
-    plan = with_usage(unique_files(files, settings, prior), settings)
     if prior is not None:
         prior = prior.join(plan.select("extract_to"), "extract_to", "left_semi")
     if prior is not None or outputs is not None:
@@ -118,46 +139,111 @@ def choose_files(
     return select_quota(plan, settings.dictionary, settings.quotas)
 
 
-def describe_contents(contents: DataFrame) -> DataFrame:
-    """Content key and ``ok`` flag of each file, without the bytes, landed.
+def choose_files(
+    files: DataFrame,
+    settings: Settings,
+    prior: DataFrame | None = None,
+    outputs: DataFrame | None = None,
+) -> DataFrame:
+    """Listed files with an ``ok`` flag to files with usage and status."""
+    return fill_quotas(planned_files(files, settings, prior), settings, prior, outputs)
+
+
+def repository_languages(repos: DataFrame) -> DataFrame:
+    """(repository_dirname, repository_language), landed.
 
-    This is the one scan of all bytes; every later step is on narrow columns
-    until the chosen files' bytes are read.
+    Two repository names may share a directory; it counts as one repository,
+    whose contents are told apart by their key.
     """
-    keyed = contents.withColumn("dedup_key", content_key("content"))
-    return land(flag_files(keyed).drop("encoding"), "file_facts")
+    return land(
+        repos.groupBy("repository_dirname").agg(
+            F.min("repository_language").alias("repository_language")
+        ),
+        "repositories",
+    )
 
 
-def build_dataset(
+def update_listing(
+    files: DataFrame, ledger: DataFrame, repos: DataFrame, lines: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """(listed files, ledger) after repositories came and went.
+
+    Files of vanished repositories are dropped; ``lines`` has the listings of
+    the repositories that the ledger does not name (others are not taken).
+    The new ledger names them too, also those without files.
+    """
+    new = new_repositories(repos, ledger).select("repository_dirname").distinct()
+    added = parse_file_listing(lines.join(new, "repository_dirname", "left_semi"))
+    kept = surviving_files(files, repos).select(added.columns)
+    return kept.unionByName(added), present_dirs(ledger).unionByName(new)
+
+
+def build_from_listing(
     repos: DataFrame,
+    listing: DataFrame,
     contents: DataFrame,
     settings: Settings,
     prior: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Downloaded repositories and file bytes to (files with status, texts).
+    """Repositories, their listed files and the bytes to (files with status, texts).
 
-    ``repos`` has repository_dirname, repository_language; ``contents`` has
-    repository_dirname, filename, content.  The texts are those of all
-    extracted files, also of earlier runs: a repository's usage changes when
-    more repositories join its language, and no repository may be in two splits.
+    ``repos`` has repository_dirname, repository_language; ``listing`` has
+    repository_dirname, filename, dedup_key; ``contents`` has the first two
+    and content.  Files are chosen by name, rank and key before any of their
+    bytes is read; only the planned ones are checked to be text, and only the
+    extracted ones are fetched.  The texts are those of all extracted files,
+    also of earlier runs: a repository's usage changes when more repositories
+    join its language, and no repository may be in two splits.
     """
-    facts = describe_contents(contents)
-    # Two repository names may share a directory; it counts as one repository.
-    languages = land(
-        repos.groupBy("repository_dirname").agg(
-            F.min("repository_language").alias("repository_language")
-        ),
-        "repositories",
-    )
     # A repository may hold a third of the files, so they are not shuffled by
     # repository unless there are too many repositories to broadcast.
-    listed = facts.join(broadcast_if_small(languages), "repository_dirname")
-    files = land(choose_files(listed, settings, prior), "files_extracted")
+    languages = broadcast_if_small(repository_languages(repos))
+    listed = listing.join(languages, "repository_dirname")
+    plan = land(planned_files(listed, settings, prior), "files_planned")
+    key = ["repository_dirname", "filename", "dedup_key"]
+    there = chosen_content(plan.select(*key), contents, same_content=True)
+    flags = flag_files(there, detector=settings.detector).drop("encoding")
+    flagged = plan.join(flags, key, "left").withColumn(
+        "ok", F.coalesce("ok", F.lit(False))
+    )
+    files = land(
+        fill_quotas(land(flagged, "files_flagged"), settings, prior), "files_extracted"
+    )
     chosen = files.where(files.status == EXTRACTED).drop("ok")
-    texts = decode_files(chosen_content(chosen, contents))
+    found = chosen_content(chosen, contents, same_content=True)
+    texts = decode_files(found, detector=settings.detector)
     return files, dataset_rows(texts)
 
 
+def list_contents(
+    repos: DataFrame, contents: DataFrame, settings: Settings
+) -> DataFrame:
+    """The listing of contents: keys of the files whose names count, landed.
+
+    Files of other repositories or without a language are dropped by name, so
+    their bytes are not hashed.
+    """
+    languages = broadcast_if_small(repository_languages(repos))
+    named = resolve_language(
+        contents.join(languages, "repository_dirname"), settings.dictionary
+    ).where(F.col("language").isNotNull())
+    keyed = named.select(
+        "repository_dirname", "filename", content_key("content").alias("dedup_key")
+    )
+    return land(keyed, "file_keys")
+
+
+def build_dataset(
+    repos: DataFrame,
+    contents: DataFrame,
+    settings: Settings,
+    prior: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """``build_from_listing`` for repositories whose files were not listed."""
+    listing = list_contents(repos, contents, settings)
+    return build_from_listing(repos, listing, contents, settings, prior)
+
+
 def subset_texts(dataset: DataFrame, n: int, settings: Settings) -> DataFrame:
     """Random ``n`` training files per language of a written dataset, with text.
 

@@ -11,17 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-# Top-n filters are applied before the shuffle only up to this n, so it must
-# exceed the largest cap or quota in use (27,000 training files by default).
-GROUP_LIMIT_THRESHOLD = 30_000
-
 
 def tune(spark: SparkSession) -> SparkSession:
     """Set the runtime options that the plans of this package rely on."""
-    spark.conf.set(
-        "spark.sql.optimizer.windowGroupLimitThreshold",
-        str(GROUP_LIMIT_THRESHOLD),
-    )
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -70,7 +62,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Dat
     A larger one is returned as it is: its joins shuffle both sides, and
     adaptive execution splits the hot keys.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    if df.count() <= max_rows:
         return F.broadcast(df)
     return df
 

@@ -109,11 +109,17 @@ def read_file_listings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_contents(spark: SparkSession, root: str) -> DataFrame:
-    """Bytes of the files under ``root/<repository_dirname>/<filename>``."""
+    """Bytes of the files under ``root/<repository_dirname>/<filename>``.
+
+    Paths are cut behind the root as the file system writes it, whatever
+    folders of its name lie above or below.
+    """
+    jvm = spark._jvm.org.apache.hadoop.fs
+    path = jvm.Path(root)
+    system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    begin = len(system.makeQualified(path).toString().rstrip("/")) + 2
     files = spark.read.format("binaryFile").load(root, recursiveFileLookup=True)
-    base = root.rstrip("/").rsplit("/", 1)[-1]
-    tail = F.substring_index(F.col("path"), f"/{base}/", -1)
-    return files.select(tail.alias("_tail"), "content").select(
+    return files.select(F.expr(f"substr(path, {begin})").alias("_tail"), "content").select(
         F.substring_index("_tail", "/", 1).alias("repository_dirname"),
         F.expr("substr(_tail, instr(_tail, '/') + 1)").alias("filename"),
         "content",
@@ -145,9 +151,13 @@ def scan_test_files(
     return label_by_extension(files, dictionary).select("name", "label", "text")
 
 
-def read_confusion_report(spark: SparkSession, path: str) -> DataFrame:
-    """Cells (actual, predicted, n) of a JSON report file."""
-    return read_report(spark.read.text(path, wholetext=True))
+def read_confusion_report(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Cells (actual, predicted, n) of JSON report files, or of one report per line."""
+    return read_report(spark.read.text(path, wholetext=not lines))
+
+
+def _is_missing(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
 
 
 def read_stage(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -155,6 +165,8 @@ def read_stage(spark: SparkSession, root: str, name: str) -> DataFrame:
     try:
         return spark.read.parquet(f"{root}/{name}")
     except AnalysisException as error:
+        if not _is_missing(error):
+            raise
         raise FileNotFoundError(f"stage table {name} missing under {root}") from error
 
 
@@ -167,7 +179,9 @@ def latest_version(spark: SparkSession, root: str, name: str) -> int:
     """Number of the newest finished version; 0 if there is none."""
     try:
         versions = spark.read.parquet(f"{root}/{name}/versions")
-    except AnalysisException:
+    except AnalysisException as error:
+        if not _is_missing(error):
+            raise
         return 0
     return versions.agg(F.max("version")).first()[0] or 0
 

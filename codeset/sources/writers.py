@@ -32,13 +32,15 @@ def write_versioned(df: DataFrame, root: str, name: str) -> int:
     return version
 
 
-def write_dataset(rows: DataFrame, path: str, partitions: int | None = None) -> None:
+def write_dataset(
+    rows: DataFrame, path: str, partitions: int | None = None, spread: int = 16
+) -> None:
     """Write usage, language, extract_to, text, split by usage and language.
 
-    Rows are spread by name inside a language, so a large language is written
-    by several tasks and a small one does not end in many tiny files.
+    Rows are spread by name inside a language: a language of a split is written
+    by up to ``spread`` tasks, and a small one does not end in many tiny files.
     """
-    share = F.substring("extract_to", 1, 1)
+    share = F.pmod(F.xxhash64("extract_to"), F.lit(spread))
     keys = ["usage", "language", share]
     spread = rows.repartition(*([partitions] if partitions else []), *keys)
     spread.write.mode("overwrite").partitionBy("usage", "language").option(
@@ -78,17 +80,17 @@ def write_report_csv(report: DataFrame, path: str) -> None:
     report.write.mode("overwrite").csv(path, header=True, escape='"')
 
 
-def graph_document(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """One row of JSON ``{links: [...], nodes: [...]}``; sizes are label counts."""
-    all_nodes = nodes.agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("name", "group"))),
-            lambda n: F.struct(n["group"].alias("group"), n["name"].alias("name")),
-        ).alias("nodes")
-    ).withColumn("_one", F.lit(1))
-    all_links = links.agg(
-        F.array_sort(F.collect_list(F.struct("source", "target", "value"))).alias("links")
-    ).withColumn("_one", F.lit(1))
-    return all_links.join(all_nodes, "_one").select(
-        F.to_json(F.struct("links", "nodes")).alias("graph_json")
-    )
+def graph_rows(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """(kind, value): a JSON object for every node and for every link."""
+    each = [
+        nodes.select(F.lit("node").alias("kind"), F.to_json(F.struct("group", "name")).alias("value")),
+        links.select(
+            F.lit("link").alias("kind"), F.to_json(F.struct("source", "target", "value")).alias("value")
+        ),
+    ]
+    return each[0].unionByName(each[1])
+
+
+def write_graph(nodes: DataFrame, links: DataFrame, path: str) -> None:
+    """Write a graph as JSON lines, in a folder of nodes and one of links."""
+    graph_rows(nodes, links).write.mode("overwrite").partitionBy("kind").text(path)

@@ -5,13 +5,15 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from codeset.functions.naming import content_key
 from codeset.functions.text import decode_files, flag_files
 from codeset.operators import files as file_ops
+from codeset.operators import quantiles, ranking
 from codeset.operators import quotas as quota_ops
 from codeset.operators import repositories as repo_ops
 from codeset.operators import splits as split_ops
 from codeset.operators.splits import Quotas
-from codeset.session import land
+from codeset.session import broadcast_if_small, land
 
 
 def plan(df):
@@ -107,3 +109,63 @@ def test_bytes_are_decoded_once_and_filtered_before_the_shuffle(spark):
 def test_reports_prune_the_bytes(listing):
     text = plan(repo_ops.present_dirs(listing))
     assert "ReadSchema: struct<repository_dirname:string>" in text
+
+
+def test_names_are_filtered_below_the_hash(spark, dictionary, listing):
+    """The hash of the bytes is projected above the join with the names."""
+    contents = listing.withColumn("content", F.encode("filename", "UTF-8")).select(
+        "repository_dirname", "repository_language", "filename", "content"
+    )
+    named = file_ops.resolve_language(land(contents, "contents"), dictionary)
+    keyed = named.where("language is not null").select(content_key("content").alias("k"))
+    lines = plan(keyed).splitlines()
+    hashed = next(i for i, line in enumerate(lines) if "sha1" in line)
+    joined = next(i for i, line in enumerate(lines) if "BroadcastHashJoin" in line)
+    assert hashed < joined
+
+
+def test_top_n_spreads_a_repository_after_a_shuffled_join(spark, listing, dictionary):
+    """Partitioned by repository, the files are dealt anew by (group, share)."""
+    repos = listing.select("repository_dirname").distinct()
+    joined = listing.join(
+        broadcast_if_small(land(repos, "repos"), max_rows=0).hint("shuffle_hash"),
+        "repository_dirname",
+    )
+    text = plan(file_ops.rank_files(joined, dictionary))
+    assert re.search(r"Exchange hashpartitioning\(_group, _share", text)
+    one = listing.withColumn("repository_dirname", F.lit("hot"))
+    shares = one.select(F.pmod(F.xxhash64("filename"), F.lit(64))).distinct().count()
+    assert shares > 1
+
+
+def test_top_n_of_many_rows_is_cut_before_its_shuffle(listing):
+    spark = listing.sparkSession
+    spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    text = plan(ranking.first_n(listing, ["repository_language"], ["filename"], 40_000))
+    assert text.count("WindowGroupLimit") == 4
+
+
+def test_unwanted_bytes_are_dropped_before_the_shuffle(spark):
+    contents = land(
+        spark.range(50).selectExpr("'r' AS repository_dirname", "concat('f', id) AS filename", "cast('x' AS binary) AS content"),
+        "contents",
+    )
+    chosen = land(contents.limit(5).drop("content"), "chosen")
+    for most in (0, 2, 100):
+        found = quota_ops.chosen_content(chosen, contents, max_broadcast=most)
+        lines = plan(found).splitlines()
+        semi = [i for i, line in enumerate(lines) if "LeftSemi" in line]
+        shuffled = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+        assert semi and all("BroadcastHashJoin" in lines[i] for i in semi)
+        assert not shuffled or any(i < min(semi) for i in shuffled)
+        assert found.count() == 5
+
+
+def test_values_are_not_shuffled_to_find_quantiles(spark):
+    counts = land(
+        spark.range(2000).selectExpr("id % 3 AS g", "id / 2000 AS value", "1L AS n", "cast(id / 10 AS int) AS _slice"),
+        "counts",
+    )
+    text = plan(quantiles.quantiles(counts, ["g"], [0.5]))
+    joined = text.split("BroadcastHashJoin")[1]
+    assert "Exchange hashpartitioning" not in joined

@@ -107,7 +107,7 @@ def test_prepare(spark):
         [("a/b", "C"), ("a", "C"), ("a/b/c", "C"), ("x___y/z", "C"), ("x/y___z", "C")],
         REPOS,
     )
-    prepared = ops.prepare_repositories(repos)
+    prepared = ops.prepare_repositories(repos, strict=False)
     assert rows(prepared, "repository_name", "repository_dirname") == [
         ("a/b", "a___b"),
         ("x/y___z", "x___y___z"),

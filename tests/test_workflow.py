@@ -1,5 +1,7 @@
 """Catalogue to dataset, on generated repositories of every language."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,9 +154,7 @@ def test_files_that_are_gone_do_not_count(settings, catalog, contents, built):
 
 
 def test_strict_settings(spark, settings, catalog, contents):
-    strict = Settings(
-        repositories=REPOSITORIES, quotas=settings.quotas, strict=True
-    )
+    strict, loose = settings, replace(settings, strict=False)
     repos = dataset.choose_repositories(catalog, strict)
     few = repos.where("repository_language <> 'Go'")
     with pytest.raises(RuntimeError, match="not so for: Go"):
@@ -163,4 +163,30 @@ def test_strict_settings(spark, settings, catalog, contents):
     with pytest.raises(Exception, match="bad name"):
         dataset.choose_repositories(bad, strict)
     with pytest.raises(RuntimeError, match="no repository"):
-        dataset.choose_repositories(bad, settings)
+        dataset.choose_repositories(bad, loose)
+    files, _ = dataset.build_dataset(few, contents, loose)
+    assert files.where("repository_language = 'Go'").isEmpty()
+    assert not files.where("repository_language = 'C' and status = 'EXTRACTED'").isEmpty()
+
+
+def test_bytes_are_read_late(spark, settings, catalog, contents):
+    """The detector sees only planned files: not by name, repository or rank."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def detector(content):
+        seen.add(1)
+        return None, 0.0
+
+    repos = dataset.choose_repositories(catalog, settings).select(
+        "repository_language", "repository_dirname"
+    )
+    odd = contents.withColumn("content", F.concat("content", F.lit(NOISE)))
+    other = odd.withColumn("repository_dirname", F.lit("not___chosen"))
+    unnamed = odd.withColumn("filename", F.concat("filename", F.lit(".unknown")))
+    watched = replace(settings, detector=detector)
+    files, _ = dataset.build_dataset(repos, contents.unionByName(other).unionByName(unnamed), watched)
+    planned = files.count()
+    assert files.where("repository_dirname = 'not___chosen'").isEmpty()
+    assert 0 < seen.value <= planned
+    text = dataset.list_contents(repos, contents, settings)
+    assert text.where("filename like '%/file.txt'").isEmpty()

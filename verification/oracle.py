@@ -54,6 +54,7 @@ def _status(quotas: Quotas, source: str) -> str:
 CONTENT_KEY = (
     "sha1(encode('blob ' || octet_length(encode(text))) || '\\x00'::BLOB || encode(text))"
 )
+SUFFIX = r"regexp_extract(split_part(filename, '/', -1), '(?s)^.+\.([^.]+)$', 1)"
 EXTENSION = r"lower(regexp_extract(split_part(filename, '/', -1), '(?s)^.+\.([^.]+)$', 1))"
 TEST_RATIO = QUOTAS.ratio("test")
 VALID_RATIO = QUOTAS.ratio("valid")
@@ -97,7 +98,8 @@ def _chain(p: str, files: str, quotas: Quotas) -> dict[str, str]:
               FROM (SELECT *, count(*) OVER (PARTITION BY repository_language) AS total,
                   row_number() OVER (PARTITION BY repository_language
                     ORDER BY md5('0:' || repository_dirname), repository_dirname) AS rn
-                FROM (SELECT DISTINCT repository_language, repository_dirname FROM {p}dedup)))""",
+                FROM (SELECT DISTINCT repository_language, repository_dirname FROM {p}dedup))
+              WHERE total >= 3)""",
         f"{p}planned": f"""
             SELECT d.*, usage FROM {p}dedup d
             JOIN {p}splits USING (repository_language, repository_dirname)""",
@@ -248,6 +250,15 @@ CTES = {
           CASE WHEN doc_id % 7 = 0 THEN size ELSE length(text) END AS n_chars
         FROM mixed""",
     **_chain("built_", "built", QUOTAS),
+    # every text as it is, and with another one under the same name
+    "text_files": "SELECT * EXCLUDE (ok), true AS ok FROM files",
+    **_chain("text_", "text_files", QUOTAS),
+    "shared_files": f"""
+        SELECT repository_dirname, repository_language, filename, true AS ok,
+          {CONTENT_KEY} AS dedup_key
+        FROM (SELECT * REPLACE (text || copy AS text)
+          FROM docs CROSS JOIN (VALUES (''), (' changed')) c(copy))""",
+    **_chain("shared_", "shared_files", QUOTAS),
     "predictions": """
         SELECT event_type AS actual,
           CASE WHEN event_id % 5 = 0 AND event_type = 'click' THEN 'view'
@@ -261,10 +272,38 @@ CTES = {
         FROM (SELECT actual AS label FROM predictions
               UNION SELECT predicted FROM predictions)""",
     "counts": """
-        SELECT a.label AS actual, p.label AS predicted, count(x.actual) AS n
-        FROM labels_seen a CROSS JOIN labels_seen p
-        LEFT JOIN predictions x ON x.actual = a.label AND x.predicted = p.label
-        GROUP BY ALL""",
+        SELECT actual, predicted, count(*) AS n FROM predictions GROUP BY ALL""",
+    "many_predictions": """
+        SELECT 'n' || l_partkey AS actual, 'n' || CASE
+            WHEN l_linenumber = 2 AND l_partkey % 20 < 19 THEN l_partkey + 1
+            WHEN l_linenumber = 3 AND l_partkey % 20 > 0 THEN l_partkey - 1
+            ELSE l_partkey END AS predicted
+        FROM lineitem""",
+    "many_shares": """
+        SELECT actual, predicted, n / sum(n) OVER (PARTITION BY actual) AS value
+        FROM (SELECT actual, predicted, count(*) AS n FROM many_predictions GROUP BY ALL)""",
+    # a chain is linked along its numbers: a group is a run without a missing link
+    "many_linked": """
+        SELECT x.actual FROM many_shares x
+        JOIN many_shares y ON x.actual = y.predicted AND x.predicted = y.actual
+        WHERE x.value > 0.02::DOUBLE AND y.value > 0.02::DOUBLE
+          AND CAST(x.predicted[2:] AS BIGINT) = CAST(x.actual[2:] AS BIGINT) + 1""",
+    "many_nodes": """
+        SELECT DISTINCT name, CAST(name[2:] AS BIGINT) AS number FROM (
+          SELECT actual AS name FROM many_predictions
+          UNION SELECT predicted FROM many_predictions)""",
+    "many_runs": """
+        SELECT *, sum(CASE WHEN linked THEN 0 ELSE 1 END) OVER (ORDER BY number) AS run
+        FROM (SELECT *, coalesce(lag(name) OVER (ORDER BY number) IN (
+                SELECT actual FROM many_linked)
+              AND lag(number) OVER (ORDER BY number) = number - 1, false) AS linked
+            FROM many_nodes)""",
+    "many_grouped": """
+        SELECT name, CAST(CASE WHEN n = 1 THEN 0
+            ELSE dense_rank() OVER (PARTITION BY n > 1 ORDER BY root) END AS INTEGER)
+            AS "group"
+        FROM (SELECT name, count(*) OVER (PARTITION BY run) AS n,
+            min(name) OVER (PARTITION BY run) AS root FROM many_runs)""",
     "shares": """
         SELECT *, n / coalesce(nullif(CAST(sum(n) OVER (PARTITION BY actual) AS DOUBLE), 0),
             1e-16) AS value FROM counts""",
@@ -465,11 +504,12 @@ _SQL = {
         GROUP BY value HAVING count(*) > 1""",
     "confusion_counts": "SELECT actual, predicted, n FROM counts",
     "confusion_matrix": """
-        SELECT actual, CAST(sum(n) FILTER (predicted = 'click') AS BIGINT) AS click,
-          CAST(sum(n) FILTER (predicted = 'error') AS BIGINT) AS error,
-          CAST(sum(n) FILTER (predicted = 'purchase') AS BIGINT) AS purchase,
-          CAST(sum(n) FILTER (predicted = 'signup') AS BIGINT) AS signup,
-          CAST(sum(n) FILTER (predicted = 'view') AS BIGINT) AS "view"
+        SELECT actual,
+          CAST(coalesce(sum(n) FILTER (predicted = 'click'), 0) AS BIGINT) AS click,
+          CAST(coalesce(sum(n) FILTER (predicted = 'error'), 0) AS BIGINT) AS error,
+          CAST(coalesce(sum(n) FILTER (predicted = 'purchase'), 0) AS BIGINT) AS purchase,
+          CAST(coalesce(sum(n) FILTER (predicted = 'signup'), 0) AS BIGINT) AS signup,
+          CAST(coalesce(sum(n) FILTER (predicted = 'view'), 0) AS BIGINT) AS "view"
         FROM counts GROUP BY actual""",
     "confusion_links": """
         SELECT s.index AS source, t.index AS target, value FROM shares
@@ -477,6 +517,32 @@ _SQL = {
         JOIN labels_seen t ON t.label = predicted""",
     "mutual_confusions": "SELECT actual, predicted FROM mutual",
     "confusion_groups": 'SELECT name, "group" FROM grouped',
+    "confusion_groups_of_many": 'SELECT name, "group" FROM many_grouped',
+    "build_from_listing": f"""
+        SELECT usage, language, extract_to, length(text) AS n_chars
+        FROM text_extracted JOIN (
+          SELECT DISTINCT {CONTENT_KEY} AS dedup_key, text FROM docs)
+        USING (dedup_key) WHERE status = 'EXTRACTED'""",
+    "shared_directories": """
+        SELECT usage, language, extract_to, true AS same_content
+        FROM shared_extracted WHERE status = 'EXTRACTED'""",
+    "read_contents": """
+        SELECT 'r' || doc_id % 3 || '___p' AS repository_dirname,
+          'src/repositories/' AS folder,
+          CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS n_bytes
+        FROM documents GROUP BY ALL""",
+    "scan_directory": """
+        SELECT DISTINCT CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'SQL'
+            WHEN 'MACHINERY' THEN 'Go' WHEN 'BUILDING' THEN 'Python' ELSE 'Rust' END
+            AS repository_language, '.csv' AS suffix
+        FROM customer""",
+    "stage_round_trip": "SELECT repository_name, repository_language FROM selected",
+    "read_result_pages": """
+        SELECT 'u/p' || c_custkey AS repository_name, 'Go' AS repository_language
+        FROM customer""",
+    "update_listing": """
+        SELECT repository_dirname, filename, dedup_key FROM files
+        WHERE repository_dirname > 'de___src1'""",
     "confusion_graph": """
         SELECT actual AS source_name, s."group" AS source_group,
           predicted AS target_name, t."group" AS target_group, value
@@ -492,9 +558,10 @@ _SQL = {
         SELECT name, CAST(row_number() OVER (ORDER BY name) AS INTEGER) AS by_name,
           CAST(row_number() OVER (ORDER BY total DESC, name) AS INTEGER) AS by_count,
           CAST(row_number() OVER (ORDER BY "group" DESC, name) AS INTEGER) AS by_group
-        FROM grouped JOIN (
-          SELECT actual AS name, sum(n) AS total FROM counts GROUP BY actual)
-        USING (name)""",
+        FROM (SELECT name, "group", coalesce(total, 0) AS total
+          FROM grouped LEFT JOIN (
+            SELECT actual AS name, sum(n) AS total FROM counts GROUP BY actual)
+          USING (name))""",
     "read_confusion_report": "SELECT actual, predicted, n FROM counts",
     "label_medians": """
         SELECT label, class, round(quantile_cont(prob, 0.5), 9) AS median
@@ -523,13 +590,13 @@ _SQL = {
         FROM documents CROSS JOIN (VALUES ('a'), ('e'), ('i'), ('o')) c(class)""",
     "label_by_extension": f"""
         SELECT filename, language AS label FROM files
-        JOIN languages ON primary_ext = {EXTENSION}""",
+        JOIN languages ON primary_ext = {SUFFIX}""",
     "check_unique": """
         SELECT dedup_key, count(*) AS n_files FROM files
         GROUP BY ALL HAVING count(*) > 1""",
     "check_not_empty": """
         SELECT repository_dirname, filename FROM docs
-        WHERE split_part(text, chr(10), 2) = ''""",
+        WHERE length(text) % 7 = 0 OR NOT regexp_matches(text, '[A-Za-z]')""",
     "check_text_only": "SELECT repository_dirname, filename FROM decoded WHERE NOT ok",
     "check_utf8": "SELECT repository_dirname, filename FROM measured WHERE NOT valid",
     "check_one_split": """

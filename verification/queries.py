@@ -391,8 +391,10 @@ def unreachable_files(spark, sf_dir):
         "repository_dirname", "filename", F.encode("text", "UTF-8").alias("content")
     )
     files = views.files(spark, sf_dir).select("repository_dirname", "filename")
-    flagged = flag_files(readers.with_content(files, contents))
-    return flagged.where(~F.col("ok")).select("repository_dirname", "filename")
+    keys = ["repository_dirname", "filename"]
+    flags = flag_files(contents).select(*keys, "ok")
+    flagged = files.join(flags, keys, "left")
+    return flagged.where(~F.coalesce("ok", F.lit(False))).select(*keys)
 
 
 @query
@@ -459,6 +461,99 @@ def build_dataset(spark, sf_dir):
     )
 
 
+@query
+def build_from_listing(spark, sf_dir):
+    """From listing lines and file bytes to the texts; the listing decides."""
+    repos = views.documents(spark, sf_dir).select(
+        "repository_dirname", "repository_language"
+    )
+    listing = file_ops.parse_file_listing(views.listing_lines(spark, sf_dir))
+    contents = views.documents(spark, sf_dir).select(
+        "repository_dirname", "filename", F.encode("text", "UTF-8").alias("content")
+    )
+    _, texts = dataset.build_from_listing(repos, listing, contents, SETTINGS)
+    return texts.select(
+        "usage", "language", "extract_to",
+        F.length("text").cast("bigint").alias("n_chars"),
+    )
+
+
+@query
+def shared_directories(spark, sf_dir):
+    """Two repositories in one directory: each text belongs to its file's key."""
+    contents = views.shared_directories(spark, sf_dir)
+    repos = contents.select("repository_dirname", "repository_language")
+    contents = contents.drop("repository_language")
+    files, texts = dataset.build_dataset(repos, contents, SETTINGS)
+    key = content_key(F.encode("text", "UTF-8"))
+    return texts.join(files.select("extract_to", "dedup_key"), "extract_to").select(
+        "usage", "language", "extract_to", (key == F.col("dedup_key")).alias("same_content")
+    )
+
+
+@query
+def read_contents(spark, sf_dir):
+    """Files written below a folder whose name occurs again above and below it."""
+    root = new_path(spark, "tree") + "/repositories/repositories"
+    docs = views.table(spark, sf_dir, "documents")
+    for i in range(3):
+        rows = docs.where(F.col("doc_id") % 3 == i).select("text")
+        rows.write.text(f"{root}/r{i}___p/src/repositories")
+    folder = F.regexp_replace("filename", "[^/]*$", "").alias("folder")
+    return readers.read_contents(spark, root + "/").groupBy(
+        "repository_dirname", folder
+    ).agg(F.sum(F.octet_length("content")).alias("n_bytes"))
+
+
+@query
+def scan_directory(spark, sf_dir):
+    """Suffixes of the files that a stage table consists of."""
+    path = new_path(spark, "scan")
+    views.curated(spark, sf_dir).write.partitionBy("repository_language").csv(path)
+    languages = views.curated(spark, sf_dir).select("repository_language").distinct()
+    pieces = None
+    for row in languages.orderBy("repository_language").collect():  # a few segments
+        found = readers.scan_directory(
+            spark, f"{path}/repository_language={row[0]}", "*.csv"
+        ).select(F.lit(row[0]).alias("repository_language"), "suffix").distinct()
+        pieces = found if pieces is None else pieces.unionByName(found)
+    return pieces
+
+
+@query
+def stage_round_trip(spark, sf_dir):
+    """Write a stage table twice, then read it; the second one counts."""
+    root = new_path(spark, "stages")
+    writers.write_stage(views.curated(spark, sf_dir), root, "selected")
+    writers.write_stage(selected(spark, sf_dir), root, "selected")
+    return readers.read_stage(spark, root, "selected")
+
+
+@query
+def read_result_pages(spark, sf_dir):
+    """Write result pages as JSON files, then read them."""
+    path = new_path(spark, "pages")
+    items = F.collect_list(
+        F.struct(F.col("c_custkey").alias("id"), F.concat(F.lit("u/p"), "c_custkey").alias("full_name"))
+    )
+    pages = views.table(spark, sf_dir, "customer").groupBy(
+        (F.col("c_custkey") % 20).alias("page")
+    ).agg(items.alias("items"))
+    pages.write.partitionBy("page").json(path)
+    return readers.repo_list_from_pages(readers.read_result_pages(spark, f"{path}/*"), "Go")
+
+
+@query
+def update_listing(spark, sf_dir):
+    """Drop files of vanished repositories, add the listings of new ones."""
+    lines = views.listing_lines(spark, sf_dir)
+    old = file_ops.parse_file_listing(lines.where("repository_dirname < 'en'"))
+    repos = views.documents(spark, sf_dir).select("repository_dirname").distinct()
+    repos = repos.where("repository_dirname > 'de___src1'")
+    files, _ = dataset.update_listing(old, repo_ops.present_dirs(old), repos, lines)
+    return files
+
+
 @query
 def files_by_repository(spark, sf_dir):
     chosen = extracted(spark, sf_dir).where(F.col("status") == quota_ops.EXTRACTED)
@@ -527,6 +622,14 @@ def confusion_counts(spark, sf_dir):
     return counts(spark, sf_dir)
 
 
+@query
+def confusion_groups_of_many(spark, sf_dir):
+    """Groups of many labels, some of them long chains."""
+    return groups.confusion_groups(
+        land(evaluation.confusion_counts(views.many_predictions(spark, sf_dir)), "counts")
+    )
+
+
 @query
 def confusion_matrix(spark, sf_dir):
     table = counts(spark, sf_dir)
@@ -548,26 +651,27 @@ def mutual_confusions(spark, sf_dir):
 
 @query
 def confusion_groups(spark, sf_dir):
-    return groups.confusion_groups(counts(spark, sf_dir))
+    return groups.confusion_groups(land(counts(spark, sf_dir), "counts"))
 
 
 @query
 def confusion_graph(spark, sf_dir):
-    """The graph as its JSON document, read back as one row per link."""
-    nodes, links = groups.confusion_graph(counts(spark, sf_dir))
-    shape = (
-        "links array<struct<source: int, target: int, value: double>>, "
-        "nodes array<struct<group: int, name: string>>"
-    )
-    document = writers.graph_document(nodes, links).select(
-        F.from_json("graph_json", shape).alias("g")
-    )
-    return document.select(F.explode("g.links").alias("l"), "g.nodes").select(
-        F.expr("nodes[l.source].name").alias("source_name"),
-        F.expr("nodes[l.source].group").alias("source_group"),
-        F.expr("nodes[l.target].name").alias("target_name"),
-        F.expr("nodes[l.target].group").alias("target_group"),
-        "l.value",
+    """The graph written as JSON lines, read back as one row per link."""
+    path = new_path(spark, "graph")
+    writers.write_graph(*groups.confusion_graph(land(counts(spark, sf_dir), "counts")), path)
+    nodes = spark.read.schema("group int, name string").json(f"{path}/kind=node")
+    links = spark.read.schema("source int, target int, value double").json(f"{path}/kind=link")
+    index = evaluation.label_index(nodes.withColumnRenamed("name", "label"))
+    ends = nodes.join(index, nodes.name == index.label)
+
+    def end(name):
+        return ends.select(
+            F.col("index").alias(name), F.col("name").alias(f"{name}_name"),
+            F.col("group").alias(f"{name}_group"),
+        )
+
+    return links.join(end("source"), "source").join(end("target"), "target").select(
+        "source_name", "source_group", "target_name", "target_group", "value"
     )
 
 
@@ -589,7 +693,7 @@ def read_confusion_report(spark, sf_dir):
     path = new_path(spark, "confusion-report")
     report = evaluation.report_json(counts(spark, sf_dir))
     report.write.text(path)
-    return readers.read_confusion_report(spark, path)
+    return readers.read_confusion_report(spark, path, lines=True)
 
 
 @query
@@ -671,7 +775,7 @@ def check_unique(spark, sf_dir):
 
 @query
 def check_not_empty(spark, sf_dir):
-    return checks.check_not_empty(views.second_paragraphs(spark, sf_dir))
+    return checks.check_not_empty(views.letters_only(spark, sf_dir))
 
 
 @query

@@ -9,7 +9,9 @@ from codeset.functions.naming import content_key
 from codeset.operators.splits import Quotas
 from codeset.plans.dataset import Settings
 
-SETTINGS = Settings(repositories=500, quotas=Quotas(train=40, valid=10, test=10))
+SETTINGS = Settings(
+    repositories=500, quotas=Quotas(train=40, valid=10, test=10), strict=False
+)
 SMALL_QUOTAS = Quotas(train=20, valid=5, test=5)
 LISTING_QUOTAS = Quotas(train=300, valid=50, test=50)
 TOPUP_LANGUAGES = ["Python", "C", "Go", "Lisp", "SQL"]
@@ -132,15 +134,24 @@ def mixed_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def second_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files that hold the second line of a document, often nothing."""
+def letters_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that hold the Latin letters of a document, or nothing."""
+    letters = F.regexp_replace("text", "[^A-Za-z]", "")
+    kept = F.when(F.length("text") % 7 == 0, F.lit("")).otherwise(letters)
     return documents(spark, sf_dir).select(
-        "repository_dirname",
-        "filename",
-        F.encode(F.split_part("text", F.lit("\n"), F.lit(2)), "UTF-8").alias("content"),
+        "repository_dirname", "filename", F.encode(kept, "UTF-8").alias("content")
     ).withColumn("dedup_key", content_key("content"))
 
 
+def shared_directories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document twice under one name, as of two repositories that share a directory."""
+    copy = F.explode(F.array(F.lit(""), F.lit(" changed"))).alias("_copy")
+    return documents(spark, sf_dir).select("*", copy).select(
+        "repository_dirname", "repository_language", "filename",
+        F.encode(F.concat("text", "_copy"), "UTF-8").alias("content"),
+    )
+
+
 def written_outputs(spark: SparkSession, sf_dir: str, plan: DataFrame) -> DataFrame:
     """Outputs present already: the planned files whose document has a label."""
     labelled = (
@@ -165,6 +176,18 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def many_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as labels that are taken for their neighbours, in chains of 20."""
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "concat('n', l_partkey) AS actual",
+        """CASE WHEN l_linenumber = 2 AND l_partkey % 20 < 19
+                THEN concat('n', l_partkey + 1)
+                WHEN l_linenumber = 3 AND l_partkey % 20 > 0
+                THEN concat('n', l_partkey - 1)
+                ELSE concat('n', l_partkey) END AS predicted""",
+    )
+
+
 def probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as class probabilities."""
     return table(spark, sf_dir, "lineitem").selectExpr(
