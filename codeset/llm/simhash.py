@@ -16,6 +16,7 @@ from codeset.session import land
 SEED = 42  # fixed with the hash, XXH64
 SHINGLE = 4
 MAX_BITS = 4
+POINTER_STEPS = 3  # each doubles the way that is looked ahead
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))  # A-Z only
 _SPACES = bytes.maketrans(b"\t\n\x0b\x0c\r", b" " * 5)
@@ -68,17 +69,27 @@ def segments(max_bits: int) -> list[tuple[int, int]]:
     return [(low, high - low) for low, high in zip(cuts, cuts[1:])]
 
 
-def _signed(bits: int) -> int:
-    return bits - (1 << 64) if bits >> 63 else bits
+def variants(fp: Column, max_bits: int) -> Column:
+    """For each of the 64 bits a key: the bit, and its segment without that bit."""
+    return F.array(
+        *(
+            F.shiftrightunsigned(fp, low)
+            .bitwiseAND(F.lit(((1 << bits) - 1) & ~(1 << bit)))
+            .bitwiseOR(F.lit((low + bit) << 32))
+            for low, bits in segments(max_bits)
+            for bit in range(bits)
+        )
+    )
 
 
-def variants(fp: Column, max_bits: int) -> Column:
-    """For each of the 64 bits its segment, with that bit cleared as a wildcard."""
+def whole_segments(fp: Column, max_bits: int) -> Column:
+    """A key for each segment as it is."""
     return F.array(
         *(
-            fp.bitwiseAND(F.lit(_signed((((1 << bits) - 1) << low) & ~(1 << bit))))
+            F.shiftrightunsigned(fp, low)
+            .bitwiseAND(F.lit((1 << bits) - 1))
+            .bitwiseOR(F.lit(low << 32))
             for low, bits in segments(max_bits)
-            for bit in range(low, low + bits)
         )
     )
 
@@ -97,60 +108,102 @@ def first_shared(difference: Column, max_bits: int) -> Column:
     return found
 
 
+def hub_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(a, b), a < b: fingerprints near the smallest one that shares a segment.
+
+    By these few links most of a large group of near copies comes together
+    before all its pairs are looked at.
+    """
+    rows = prints.select("fp", F.explode(whole_segments(F.col("fp"), max_bits)).alias("key"))
+    hubs = rows.groupBy("key").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("_n"))
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("fp"))) <= max_bits
+    return (
+        rows.join(hubs.where("_n > 1").drop("_n"), "key")
+        .where((F.col("a") < F.col("fp")) & near)
+        .select("a", F.col("fp").alias("b"))
+        .distinct()
+    )
+
+
 def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(a, b), a < b, of distinct fingerprints that differ by few bits, once each.
+    """(a, b): the roots of fingerprints that differ by few bits, once for each pair.
 
-    ``prints`` has distinct ``fp``.  Cut into ``max_bits // 2 + 1`` segments,
-    two near fingerprints have one that differs by a bit at most, so they
-    share the variant that leaves this bit out.  The join on variants checks
-    the distance of each pair and keeps it at the first variant it shares.
+    ``prints`` has distinct ``fp`` and their ``root`` so far; pairs of one
+    root are left out.  Cut into ``max_bits // 2 + 1`` segments, two near
+    fingerprints have one that differs by a bit at most, so they share the
+    variant that leaves this bit out.  The join on variants checks the
+    distance of each pair and keeps it at the first variant it shares.
     """
-    keyed = prints.select("fp", F.posexplode(variants(F.col("fp"), max_bits)).alias("bit", "part"))
-    left = keyed.select(F.col("fp").alias("a"), "bit", "part").hint("merge")
-    right = keyed.select(F.col("fp").alias("b"), F.col("bit").alias("_bit"), F.col("part").alias("_part"))
-    difference = F.col("a").bitwiseXOR(F.col("b"))
-    return left.join(
+    rows = prints.select("fp", "root", F.explode(variants(F.col("fp"), max_bits)).alias("key"))
+    left = rows.select(F.col("fp").alias("_a"), F.col("root").alias("a"), "key")
+    right = rows.select(
+        F.col("fp").alias("_b"), F.col("root").alias("b"), F.col("key").alias("_key")
+    )
+    difference = F.col("_a").bitwiseXOR(F.col("_b"))
+    return left.hint("merge").join(
         right,
-        (F.col("bit") == F.col("_bit"))
-        & (F.col("part") == F.col("_part"))
-        & (F.col("a") < F.col("b"))
+        (F.col("key") == F.col("_key"))
+        & (F.col("_a") < F.col("_b"))
+        & (F.col("a") != F.col("b"))
         & (F.bit_count(difference) <= max_bits)
-        & (F.col("bit") == first_shared(difference, max_bits)),
+        & (F.shiftright("key", 32) == first_shared(difference, max_bits)),
     ).select("a", "b")
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(fp, least): the smallest ``least`` that each linked node can reach.
+def components(links: DataFrame) -> DataFrame:
+    """(fp, root): one root for all fingerprints that ``links`` (a, b) connect.
 
-    ``nodes`` has (fp, least), ``links`` (a, b).  A root is the pair of the
-    smallest ``least`` known so far and the node that holds it.  Each round a
-    node takes the smallest root among its neighbours and then the root of
-    that root's node, so chains halve.  Rounds are written to the shared
-    folder; they end as no root changes.
+    Each round every node points to its smallest neighbour, pointers are
+    followed a few times, and links are drawn between the ends: links inside a
+    group vanish, and copies of a link become one.  Fingerprints are hashes,
+    so pointers form short paths and few rounds are needed.  Links and
+    pointers are written to the shared folder after each round, until no link
+    is left.
     """
-    both = land(links.union(links.select("b", "a")), "both-ways")
-    linked = both.select(F.col("a").alias("fp")).distinct()
-    own = nodes.join(linked, "fp", "left_semi")
-    roots = land(own.select("fp", F.struct("least", "fp").alias("root")), "roots")
-    while True:
-        near = (
-            both.join(roots.withColumnRenamed("fp", "b"), "b")
-            .groupBy(F.col("a").alias("fp"))
-            .agg(F.min("root").alias("near"))
+    links = land(links.select("a", "b"), "links")
+    ends = F.explode(F.array("a", "b")).alias("fp")
+    roots = land(links.select(ends).distinct().withColumn("root", F.col("fp")), "roots")
+    while not links.isEmpty():
+        ways = F.explode(
+            F.array(F.struct(F.col("a").alias("fp"), F.col("b").alias("to")),
+                    F.struct(F.col("b").alias("fp"), F.col("a").alias("to")))
+        ).alias("way")
+        pointers = (
+            links.select(ways).groupBy("way.fp").agg(F.min("way.to").alias("to"))
+            .withColumn("to", F.least("fp", "to"))
         )
-        step = roots.join(near, "fp").select(
-            "fp", F.col("root").alias("old"), F.least("root", "near").alias("next")
-        )
-        jump = roots.select(F.col("fp").alias("_at"), F.col("root").alias("jump"))
-        done = land(
-            step.join(jump, F.col("next.fp") == F.col("_at")).select(
-                "fp", "old", F.least("next", "jump").alias("root")
+        for _ in range(POINTER_STEPS):
+            pointers = land(pointers, "pointers")
+            ahead = pointers.select(F.col("fp").alias("to"), F.col("to").alias("_next"))
+            pointers = pointers.join(ahead, "to").select("fp", F.col("_next").alias("to"))
+        pointers = land(pointers, "pointers")
+
+        def moved(name: str) -> DataFrame:
+            return pointers.select(F.col("fp").alias(name), F.col("to").alias(f"_{name}"))
+
+        roots = land(
+            roots.join(moved("root"), "root", "left").select(
+                "fp", F.coalesce("_root", "root").alias("root")
             ),
             "roots",
         )
-        roots = done.select("fp", "root")
-        if done.where("old <> root").isEmpty():
-            return roots.select("fp", F.col("root.least").alias("least"))
+        drawn = links.join(moved("a"), "a").join(moved("b"), "b").where("_a <> _b")
+        links = land(
+            drawn.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct(),
+            "links",
+        )
+    return roots
+
+
+def with_roots(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``nodes`` (fp, least, root) after their roots are linked, landed."""
+    found = components(links).select(F.col("fp").alias("root"), F.col("root").alias("_new"))
+    return land(
+        nodes.join(found, "root", "left").select(
+            "fp", "least", F.coalesce("_new", "root").alias("root")
+        ),
+        "groups",
+    )
 
 
 def near_duplicates(
@@ -163,19 +216,17 @@ def near_duplicates(
     of all word shingles, repeats included, vote on each bit.  Texts without
     words have fingerprint zero and are linked like any other; null texts
     count as empty.  Equal fingerprints are one node, so copies cost no
-    pairs.  ``component_id`` is the smallest key that can be reached; rows
+    pairs; links to the smallest sharer of each segment are drawn first, and
+    then those of all pairs that are still apart.  ``component_id`` is the smallest key that can be reached; rows
     with a null key take their component's, which is null if no key is known.
     Repeated rows are kept; other columns are left out.
     """
-    unknown = (1 << 63) - 1  # sorts behind every key
     prints = land(with_fingerprint(docs, shingle, key, text), "fingerprints")
-    least = F.coalesce(F.min(key).cast("long"), F.lit(unknown)).alias("least")
-    nodes = land(prints.groupBy("fp").agg(least), "distinct-fingerprints")
-    links = land(near_links(nodes.select("fp"), max_bits), "near-links")
-    roots = components(nodes, links).withColumnRenamed("least", "_root")
-    found = nodes.join(roots, "fp", "left").select(
-        "fp", F.nullif(F.coalesce("_root", "least"), F.lit(unknown)).alias("component_id")
-    )
+    nodes = land(prints.groupBy("fp").agg(F.min(key).alias("least")), "distinct-fingerprints")
+    grouped = with_roots(nodes.withColumn("root", F.col("fp")), hub_links(nodes, max_bits))
+    grouped = with_roots(grouped, near_links(grouped, max_bits))
+    named = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
+    found = grouped.join(named, "root").select("fp", "component_id")
     return prints.join(found, "fp").select(
         key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )

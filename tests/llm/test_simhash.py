@@ -78,15 +78,23 @@ def test_links_of_all_distances(spark, max_bits):
         frozenset((a, b)) for i, a in enumerate(values) for b in values[i + 1 :]
         if (a ^ b).bit_count() <= max_bits
     }
-    prints = spark.createDataFrame([(signed(v),) for v in values], "fp long")
+    prints = spark.createDataFrame([(signed(v), signed(v)) for v in values], "fp long, root long")
     rows = simhash.near_links(prints, max_bits).collect()
     found = [frozenset(x % (1 << 64) for x in row) for row in rows]
     assert len(found) == len(set(found)) and set(found) == want
+    hubs = {frozenset(x % (1 << 64) for x in r) for r in simhash.hub_links(prints, max_bits).collect()}
+    assert hubs <= want
+    one = prints.withColumn("root", prints.fp % 3)
+    assert all(a != b for a, b in simhash.near_links(one, max_bits).collect())
 
 
-def test_long_chain(spark):
+@pytest.mark.parametrize("order", ["sorted", "mixed"])
+def test_long_chain(spark, order):
     """Groups are followed over many links."""
-    nodes = spark.createDataFrame([(100 + i, 50 - i) for i in range(40)], "fp long, least long")
-    links = spark.createDataFrame([(100 + i, 101 + i) for i in range(39) if i != 20], "a long, b long")
-    found = dict(map(tuple, simhash.components(nodes, links).collect()))
-    assert found == {100 + i: 30 if i <= 20 else 11 for i in range(40)}
+    names = [100 + i if order == "sorted" else hash((i, 7)) % (1 << 40) for i in range(60)]
+    links = [tuple(sorted((names[i], names[i + 1]))) for i in range(59) if i != 20]
+    found = dict(map(tuple, simhash.components(spark.createDataFrame(links, "a long, b long")).collect()))
+    assert set(found) == set(names)
+    for part in (names[:21], names[21:]):
+        assert len({found[name] for name in part}) == 1
+    assert found[names[0]] != found[names[-1]]
