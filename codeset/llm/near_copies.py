@@ -1,0 +1,234 @@
+"""Near copies by the exact Jaccard similarity of their word shingles.
+
+Candidates come from two sides: SimHash fingerprints that differ by few bits,
+and bands of seeded MinHash values.  Every link is verified by the shingle
+sets themselves before groups are formed.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from codeset.llm import simhash
+from codeset.llm.arrow import by_bytes
+from codeset.session import land
+
+MIN_JACCARD = 0.8
+# A pair of similarity s shares a band with probability 1 - (1 - s**ROWS)**BANDS:
+# 0.998 at 0.8, 0.27 at 0.5, 0.01 at 0.3.
+BANDS = 20
+ROWS = 6
+_PART = 1 << 12  # hashes that are permuted at a time
+
+_RANDOM = np.random.default_rng(simhash.SEED)
+_MASKS = _RANDOM.integers(0, 1 << 64, (BANDS * ROWS, 1), np.uint64)
+_FACTORS = _RANDOM.integers(0, 1 << 63, (BANDS * ROWS, 1), np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def band_keys(hashes: np.ndarray) -> list[int]:
+    """A signed 64-bit key for each band of the set's smallest permuted hashes."""
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), _PART):
+        part = (hashes[None, at : at + _PART] ^ _MASKS) * _FACTORS
+        least = np.minimum(least, part.min(1))
+    digest = xxhash.xxh64_intdigest
+    bands = least.reshape(BANDS, ROWS)
+    return np.array([digest(b.tobytes(), i) for i, b in enumerate(bands)], np.uint64).view(np.int64).tolist()
+
+
+def _node(words: list[bytes]) -> int:
+    return xxhash.xxh64_intdigest(b" ".join(words), simhash.SEED + 1)
+
+
+def _shingle_set(words: list[bytes], shingle: int) -> np.ndarray:
+    parts = list(simhash.shingle_hashes(words, shingle))
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+
+
+def with_nodes(docs: DataFrame, shingle: int, key: str, text: str) -> DataFrame:
+    """(key, node, fp, n, bands) of each row.
+
+    The node is a hash of the words, equal for texts that differ in white
+    space or case only; n is the number of different shingles.
+    """
+    source = docs.select(key, F.coalesce(text, F.lit("")).cast("binary").alias("_text"))
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches, "_text"):
+            nodes, prints, sizes, bands = [], [], [], []
+            for value in batch.column("_text").to_pylist():
+                words = simhash.normalised(value)
+                hashes = list(simhash.shingle_hashes(words, shingle))
+                shingles = np.unique(np.concatenate(hashes)) if hashes else np.zeros(0, np.uint64)
+                nodes.append(_node(words))
+                prints.append(simhash.voted(hashes))
+                sizes.append(len(shingles))
+                bands.append(band_keys(shingles))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(key),
+                    pa.array(np.array(nodes, np.uint64).view(np.int64)),
+                    pa.array(np.array(prints, np.uint64).view(np.int64)),
+                    pa.array(sizes, pa.int32()),
+                    pa.array(bands, pa.list_(pa.int64())),
+                ],
+                [key, "node", "fp", "n", "bands"],
+            )
+
+    kind = docs.schema[key].dataType.simpleString()
+    return source.mapInArrow(compute, f"`{key}` {kind}, node long, fp long, n int, bands array<long>")
+
+
+def shingle_sets(docs: DataFrame, wanted: DataFrame, shingle: int, text: str) -> DataFrame:
+    """(node, shingles) of the ``wanted`` nodes; each text is hashed once."""
+    source = docs.select(F.coalesce(text, F.lit("")).cast("binary").alias("_text"))
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches, "_text"):
+            texts = batch.column("_text")
+            nodes = np.array([_node(simhash.normalised(t)) for t in texts.to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), texts], ["node", "_text"])
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches, "_text"):
+            sets = [
+                _shingle_set(simhash.normalised(t), shingle).view(np.int64)
+                for t in batch.column("_text").to_pylist()
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"]
+            )
+
+    named = source.mapInArrow(name, "node long, _text binary").join(wanted, "node", "left_semi")
+    one = named.groupBy("node").agg(F.min("_text").alias("_text"))
+    return one.mapInArrow(compute, "node long, shingles array<long>")
+
+
+def hub_candidates(nodes: DataFrame, max_bits: int) -> DataFrame:
+    """(a, b): each node with one node of its band, its fingerprint and its segments.
+
+    Each band takes its hub by another hash, so a large group of near copies
+    has many hubs and comes together by few links for each node.
+    """
+    rows = nodes.select("node", F.posexplode("bands").alias("at", "key"))
+    order = F.struct(F.xxhash64("node", "at"), "node")
+    hubs = rows.groupBy("key").agg(F.min(order)["node"].alias("a"), F.count(F.lit(1)).alias("_n"))
+    by_band = rows.join(hubs.where("_n > 1"), "key").select("a", F.col("node").alias("b"))
+    prints = nodes.groupBy("fp").agg(F.min("node").alias("a"))
+    by_print = nodes.join(prints, "fp").select("a", F.col("node").alias("b"))
+    named = [prints.select(F.col("fp").alias(x), F.col("a").alias(f"_{x}")) for x in "ab"]
+    by_segment = (
+        simhash.hub_links(prints.select("fp"), max_bits)
+        .join(named[0], "a").join(named[1], "b")
+        .select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+    )
+    return by_band.unionAll(by_print).unionAll(by_segment)
+
+
+def split_candidates(nodes: DataFrame, max_bits: int) -> DataFrame:
+    """(a, b): nodes of different roots that share a band, or are near by fingerprint.
+
+    Most rows of a large bucket have one root; only the others are compared
+    with all rows of the bucket.
+    """
+    rows = nodes.select("node", "root", F.explode("bands").alias("key"))
+    counts = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("_n"))
+    mixed = counts.groupBy("key").agg(
+        F.max(F.struct("_n", "root"))["root"].alias("_top"), F.count(F.lit(1)).alias("_roots")
+    ).where("_roots > 1").drop("_roots")
+    rows = land(rows.join(mixed, "key"), "buckets")
+    left = rows.where("root <> _top").select(
+        "key", F.col("node").alias("a"), F.col("root").alias("_a")
+    )
+    right = rows.select(
+        F.col("key").alias("_key"), F.col("node").alias("b"), F.col("root").alias("_b"), "_top"
+    )
+    by_band = left.hint("merge").join(
+        right,
+        (F.col("key") == F.col("_key"))
+        & (F.col("_a") != F.col("_b"))
+        & ((F.col("_b") == F.col("_top")) | (F.col("a") < F.col("b"))),
+    ).select("a", "b")
+    # Of a fingerprint's nodes the smallest stands for it; the others are its candidates already.
+    prints = nodes.groupBy("fp").agg(F.min(F.struct("node", "root")).alias("_n")).select(
+        "fp", F.col("_n.root").alias("root"), F.col("_n.node").alias("node")
+    )
+    named = [prints.select(F.col("fp").alias(f"_{x}"), F.col("node").alias(f"_node_{x}")) for x in "ab"]
+    by_print = (
+        simhash.near_pairs(prints.select("fp", "root"), max_bits)
+        .join(named[0], "_a").join(named[1], "_b")
+        .select(F.col("_node_a").alias("a"), F.col("_node_b").alias("b"))
+    )
+    return by_band.unionAll(by_print)
+
+
+def verified(
+    candidates: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int, text: str, min_jaccard: float
+) -> DataFrame:
+    """The candidates whose shingle sets have at least this Jaccard similarity."""
+    pairs = candidates.where("a <> b").select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    ).distinct()
+    for side in "ab":
+        sizes = nodes.select(F.col("node").alias(side), F.col("n").alias(f"_n_{side}"))
+        pairs = pairs.hint("merge").join(sizes, side)
+    smaller, larger = F.least("_n_a", "_n_b"), F.greatest("_n_a", "_n_b")
+    pairs = land(pairs.where(smaller / larger >= min_jaccard), "candidates")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = land(shingle_sets(docs, wanted, shingle, text), "shingles")
+    for side in "ab":
+        named = sets.select(F.col("node").alias(side), F.col("shingles").alias(f"_{side}"))
+        pairs = pairs.hint("merge").join(named, side)
+    both = F.size(F.array_intersect("_a", "_b"))
+    rows = pairs.select("a", "b", both.alias("_both"), (F.col("_n_a") + F.col("_n_b")).alias("_sum"))
+    return rows.where(F.col("_both") / (F.col("_sum") - F.col("_both")) >= min_jaccard).select("a", "b")
+
+
+def with_roots(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``nodes`` after their roots are linked by ``links`` between nodes, landed."""
+    for side in "ab":
+        roots = nodes.select(F.col("node").alias(side), F.col("root").alias(f"_{side}"))
+        links = links.join(roots, side)
+    ends = links.where("_a <> _b").select(
+        F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")
+    )
+    found = simhash.components(ends.distinct()).select(
+        F.col("fp").alias("root"), F.col("root").alias("_new")
+    )
+    return land(
+        nodes.join(found, "root", "left")
+        .withColumn("root", F.coalesce("_new", "root")).select(*nodes.columns),
+        "groups",
+    )
+
+
+def near_copies(
+    docs: DataFrame, shingle: int, max_bits: int, min_jaccard: float = MIN_JACCARD,
+    key: str = "doc_id", text: str = "text",
+) -> DataFrame:
+    """(key, component_id) of each row.
+
+    Two texts are linked if the sets of their word shingles have a Jaccard
+    similarity of ``min_jaccard`` or more; words as in ``simhash``, shingles
+    compared by 64-bit hashes.  A pair of 0.8 is looked at with probability
+    0.998 or more.  ``component_id`` is the smallest key that can be reached; rows with a
+    null key take their component's, which is null if no key is known.
+    """
+    rows = land(with_nodes(docs, shingle, key, text), "nodes")
+    nodes = rows.groupBy("node").agg(
+        F.min(key).alias("least"), F.min("fp").alias("fp"), F.min("n").alias("n"),
+        F.min("bands").alias("bands"), F.min("node").alias("root"),
+    )
+    nodes = land(nodes.select("node", "least", "fp", "n", "bands", "root"), "different-texts")
+    for candidates in (hub_candidates, split_candidates):
+        links = verified(candidates(nodes, max_bits), docs, nodes, shingle, text, min_jaccard)
+        nodes = with_roots(nodes, land(links, "verified"))
+    named = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
+    found = nodes.join(named, "root").select("node", "component_id")
+    return rows.join(found, "node").select(key, "component_id")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,25 +23,40 @@ _SPACES = bytes.maketrans(b"\t\n\x0b\x0c\r", b" " * 5)
 _HASHES = 1 << 16  # hashes whose bits are counted at a time
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """64 bits, each set if it is set in over half of the shingles' hashes."""
+def normalised(text: bytes) -> list[bytes]:
+    """The words of a text, A-Z in lower case."""
     words = text.translate(_LOWER).translate(_SPACES).split(b" ")
-    words = [word for word in words if word]
+    return [word for word in words if word]
+
+
+def shingle_hashes(words: list[bytes], shingle: int = SHINGLE) -> Iterator[np.ndarray]:
+    """The hashes of all word shingles, repeats included, some at a time."""
     if not words:
-        return 0
+        return
     line = b" ".join(words)
     ends = np.cumsum([len(word) + 1 for word in words]) - 1
     count = max(1, len(words) - shingle + 1)
     starts = [0, *(ends[: count - 1] + 1).tolist()]
     stops = ends[min(shingle, len(words)) - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
-    set_bits = np.zeros(64, np.int64)
     for at in range(0, count, _HASHES):
         spans = zip(starts[at : at + _HASHES], stops[at : at + _HASHES])
-        hashes = np.array([digest(line[a:b], SEED) for a, b in spans], ">u8")
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1)
+        yield np.array([digest(line[a:b], SEED) for a, b in spans], np.uint64)
+
+
+def voted(hashes: Iterable[np.ndarray]) -> int:
+    """64 bits, each set if it is set in over half of the hashes."""
+    set_bits, count = np.zeros(64, np.int64), 0
+    for part in hashes:
+        bits = np.unpackbits(part.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
         set_bits += bits.sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(set_bits * 2 > count).tobytes(), "big")
+        count += len(part)
+    return int.from_bytes(np.packbits(set_bits * 2 > count).tobytes(), "big") if count else 0
+
+
+def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+    """64 bits, each set if it is set in over half of the shingles' hashes."""
+    return voted(shingle_hashes(normalised(text), shingle))
 
 
 def with_fingerprint(
@@ -125,8 +140,8 @@ def hub_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     )
 
 
-def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(a, b): the roots of fingerprints that differ by few bits, once for each pair.
+def near_pairs(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(_a, a, _b, b): fingerprints that differ by few bits and their roots, each pair once.
 
     ``prints`` has distinct ``fp`` and their ``root`` so far; pairs of one
     root are left out.  Cut into ``max_bits // 2 + 1`` segments, two near
@@ -147,7 +162,12 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         & (F.col("a") != F.col("b"))
         & (F.bit_count(difference) <= max_bits)
         & (F.shiftright("key", 32) == first_shared(difference, max_bits)),
-    ).select("a", "b")
+    ).select("_a", "a", "_b", "b")
+
+
+def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(a, b): the roots of fingerprints that differ by few bits, once for each pair."""
+    return near_pairs(prints, max_bits).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -7,14 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeset.llm import mixing, packing, pii, quality_rules, simhash
+from codeset.llm import mixing, near_copies, packing, pii, quality_rules
 from codeset.llm.tokens import vocabulary_path
 from codeset.session import land, tune
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 SHINGLE = 5  # words
-# Seven of 64 bits: by the angle between the votes a Jaccard similarity of 0.89.
+MIN_JACCARD = 0.8  # of the shingle sets
+# Fingerprints within seven of 64 bits are candidates, beside texts that share a MinHash band.
 MAX_BITS = 7
 PII_KEY = "a key of the operator's choice"  # production takes it from a secret store
 
@@ -32,7 +33,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Rows without an id cannot be told apart by it and stay.
     """
-    groups = simhash.near_duplicates(docs, SHINGLE, MAX_BITS)
+    groups = near_copies.near_copies(docs, SHINGLE, MAX_BITS, MIN_JACCARD)
     copies = groups.where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(copies, "doc_id", "left_anti")
     return kept.select(*docs.columns).dropDuplicates(["doc_id", "text"])

@@ -1,0 +1,100 @@
+"""Groups of near copies against all pairs' exact Jaccard similarities."""
+
+import random
+import re
+from collections import defaultdict
+
+import pytest
+
+import corpus_pipeline
+from codeset.llm import near_copies
+
+SIZE, LEAST = 5, 0.8
+
+
+def shingles(text):
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lower)
+    return {tuple(words[i : i + SIZE]) for i in range(max(1, len(words) - SIZE + 1))} if words else set()
+
+
+def similar(a, b):
+    return a == b or len(a & b) / len(a | b) >= LEAST
+
+
+def brute_groups(sets):
+    """Smallest reachable key, by trying all pairs."""
+    root = {key: key for key in sets}
+
+    def find(key):
+        while root[key] != key:
+            key = root[key]
+        return key
+
+    keys = sorted(sets)
+    for i, a in enumerate(keys):
+        for b in keys[i + 1 :]:
+            if similar(sets[a], sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {key: find(key) for key in keys}
+
+
+def groups_of(df):
+    found = near_copies.near_copies(df, SIZE, corpus_pipeline.MAX_BITS)
+    return {r["doc_id"]: r["component_id"] for r in found.collect()}
+
+
+@pytest.fixture(scope="module")
+def family():
+    """Texts with one to twelve changed words, just above and just below 0.8."""
+    random.seed(5)
+    texts = {}
+    for group in range(12):
+        words = [f"w{random.randrange(10**6)}" for _ in range(200)]
+        texts[len(texts)] = " ".join(words)
+        for changes in range(1, 13):
+            copy = list(words)
+            for at in random.sample(range(200), changes):
+                copy[at] = f"x{random.randrange(10**6)}"
+            texts[len(texts)] = " ".join(copy)
+    return texts
+
+
+def test_links_are_jaccard_links(spark, family):
+    df = spark.createDataFrame(list(family.items()), "doc_id long, text string")
+    found = groups_of(df)
+    want = brute_groups({k: shingles(t) for k, t in family.items()})
+    assert found == want
+    assert 12 < len(set(want.values())) < len(family)
+
+
+def test_documents_equal_all_pairs(documents, texts):
+    assert groups_of(documents) == brute_groups({k: shingles(t) for k, t in texts.items()})
+
+
+def test_awkward_rows(awkward, empty):
+    found = near_copies.near_copies(awkward, SIZE, corpus_pipeline.MAX_BITS).collect()
+    assert len(found) == awkward.count()
+    by_key = {r["doc_id"]: r["component_id"] for r in found}
+    assert by_key[2] == by_key[3] == by_key[4] == 2 and by_key[6] == 5 and by_key[None] is None
+    assert near_copies.near_copies(empty, SIZE, corpus_pipeline.MAX_BITS).isEmpty()
+
+
+def test_stage_keeps_one_of_each_group(spark, documents, texts):
+    kept = corpus_pipeline.drop_near_copies(spark, documents, "")
+    groups = brute_groups({k: shingles(t) for k, t in texts.items()})
+    assert {r["doc_id"] for r in kept.collect()} == set(groups.values())
+
+
+def test_recall_of_pairs_at_the_cutoff():
+    """Of pairs of similarity 0.8 to 0.82 nearly all share a band."""
+    rng = random.Random(3)
+    import numpy as np
+
+    shared = 0
+    for _ in range(300):
+        values = np.array([rng.getrandbits(64) for _ in range(110)], np.uint64)
+        a, b = values[:100], values[10:110]  # 90 of 110: 0.818
+        shared += bool(set(near_copies.band_keys(a)) & set(near_copies.band_keys(b)))
+    assert shared >= 295
