@@ -15,13 +15,38 @@ ROUNDS = 8  # even, so that halves end where they began
 # Fixed patterns of the formats, in the order in which they are tried.
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _WORD = r"[A-Za-z0-9_]"
+# Characters of the account numbers of each country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD FK", 19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST", 26: "IR IS TR DZ",
+    27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD", 28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_of(length: int, countries: str) -> str:
+    groups, rest = divmod(length - 4, 4)
+    tail = f" ?[A-Z0-9]{{{rest}}}" if rest else ""
+    return rf"(?:{'|'.join(countries.split())})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{tail}"
+
+
+# The length is the country's, so that a word behind the number is not taken
+# with it.  Other codes take what looks like a number, up to a country's number.
+_KNOWN_IBAN = rf"(?:{'|'.join(_iban_of(n, c) for n, c in IBAN_LENGTHS.items())})(?!{_WORD})"
+_IBAN = (
+    rf"(?<!{_WORD})(?=[A-Z]{{2}}[0-9]{{2}})(?:{_KNOWN_IBAN}"
+    rf"|[A-Z]{{2}}[0-9]{{2}}(?:(?! {_KNOWN_IBAN}) ?[A-Z0-9]{{4}}){{2,7}}"
+    rf"(?:(?! {_KNOWN_IBAN}) ?[A-Z0-9]{{1,3}})?(?!{_WORD}))"
+)
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
     "date": r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])"
     r"|(?<![0-9./])[0-9]{2}([./])[0-9]{2}\1[0-9]{4}(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "iban": rf"(?<!{_WORD})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?(?!{_WORD})",
+    "iban": _IBAN,
     "card": rf"(?<!{_WORD})(?:[0-9]{{13,19}}|[0-9]{{4}}(?:[ -][0-9]{{4}}){{3}}|[0-9]{{4}}[ -][0-9]{{6}}[ -][0-9]{{5}})(?!{_WORD})",
     "phone": r"(?<![0-9+])\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\))?(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9])"
     r"|(?<![0-9(])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])"

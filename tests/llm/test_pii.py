@@ -117,6 +117,22 @@ def test_iban(spark):
     assert row[1]["text"] == "an DE88 3704 0044 0532 0130 00 ab"
 
 
+@pytest.mark.parametrize("value", [
+    "BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "ES91 2100 0418 4502 0005 1332",
+    "SE45 5000 0000 0583 9825 7466", "CZ65 0800 0000 1920 0014 5399",
+    "RO49 AAAA 1B31 0075 9384 0000", "PL61 1090 1014 0000 0712 1981 2874", "DE89 3704 0044 0532 0130 00",
+])
+def test_iban_before_another_token(spark, value):
+    """The country's length ends the number, whatever stands behind it."""
+    behind = [" BIC: GKCCBEBB", " 1234", " AB12", " EUR 50", " 4111 1111 1111 1111", ", x", ""]
+    texts = [f"IBAN {value}{end}" for end in behind]
+    texts += [f"IBAN {value.replace(' ', '')} BIC", f"REF XX12 3456 7890 {value} BIC"]
+    for row in run(spark, texts).values():
+        assert row["n_iban"] == 1 and value not in row["text"]
+        assert value.replace(" ", "") not in row["text"]
+        assert "4111 1111" not in row["text"]
+
+
 @pytest.mark.parametrize("kind, values", [
     ("ssn", [f"{i:03d}-12-3456" for i in range(1000)]),
     ("date", [str(datetime.date(1900, 1, 1) + datetime.timedelta(73 * i)) for i in range(1000)]),
