@@ -111,3 +111,100 @@ FROM measured LEFT JOIN rejected USING (doc_id)
 
 
 ORACLE_SQL["op7_quality_rules"] = _quality_sql()
+
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# Scores by joins of exploded terms, all documents for each item.
+ORACLE_SQL["op11_lexical_search"] = r"""
+WITH doc_terms AS (
+    SELECT row, doc_id, unnest(regexp_extract_all(lowered, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT row_number() OVER () AS row, doc_id, {lower} AS lowered FROM documents WHERE text IS NOT NULL)
+), tfs AS (
+    SELECT row, doc_id, term, count(*) AS tf FROM doc_terms GROUP BY ALL
+), lengths AS (
+    SELECT row, sum(tf)::BIGINT AS n FROM tfs GROUP BY row
+), whole AS (
+    SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM lengths
+), norms AS (
+    SELECT row, 10 + (90 * n * docs) // total AS m FROM lengths, whole
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM tfs, whole GROUP BY term, docs
+), items AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark WHERE text IS NOT NULL
+), scored AS (
+    SELECT item_id, row, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+    FROM items JOIN weights USING (term) JOIN tfs USING (term) JOIN norms USING (row)
+    GROUP BY ALL
+), ranked AS (
+    SELECT item_id, doc_id, score, row_number() OVER (
+        PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST
+    )::INTEGER AS rank
+    FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+""".replace("{lower}", _LOWER.format("text"))
+
+# Every group with every kept term of its language, in wide integers.
+ORACLE_SQL["op12_source_divergence"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           coalesce(text, '') AS text
+    FROM documents
+), terms AS (
+    SELECT row, lang, source, unnest(regexp_extract_all({lower}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM docs
+), kept AS (
+    SELECT lang, term, count(*) AS lang_times FROM terms
+    GROUP BY ALL HAVING count(DISTINCT row) >= 3
+), langs AS (
+    SELECT lang, count(*)::HUGEINT AS v, sum(lang_times)::HUGEINT AS total FROM kept GROUP BY lang
+), groups AS (
+    SELECT DISTINCT lang, source FROM docs
+), times AS (
+    SELECT lang, source, term, count(*) AS times FROM terms SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), totals AS (
+    SELECT lang, source, sum(times)::HUGEINT AS total FROM times GROUP BY ALL
+), filled AS (
+    SELECT lang, source, term, coalesce(times, 0) AS times,
+           1 + (1000000000 * (coalesce(times, 0) + 1)::HUGEINT) // (coalesce(totals.total, 0) + v) AS p,
+           1 + (1000000000 * (lang_times + 1)::HUGEINT) // (langs.total + v) AS q
+    FROM groups JOIN kept USING (lang) JOIN langs USING (lang)
+    LEFT JOIN times USING (lang, source, term) LEFT JOIN totals USING (lang, source)
+), compared AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p)::BIGINT AS value
+    FROM filled a JOIN filled b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY ALL
+), pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN compared c ON c.lang = a.lang AND c.source = a.source AND c.item = b.source
+), own AS (
+    SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value
+    FROM filled WHERE times > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM own)
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
+""".replace("{lower}", _LOWER.format("text"))
+
+ORACLE_SQL["op13_chat_formatting"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), lengths AS (
+    SELECT *, length(role) - length(regexp_replace(role, '[\\:\n]', '', 'g'))
+              + (length(text) - length(replace(text, '### ', ''))) // 4
+              + (length(text) - length(replace(text, '</turn>', ''))) // 7 AS escapes
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(4 + length(role) + 2 + length(text) + escapes + 9)::BIGINT AS formatted_chars
+FROM lengths GROUP BY conv_id
+"""

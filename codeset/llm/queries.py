@@ -1,4 +1,4 @@
-"""The ten operators as queries over whole test tables."""
+"""The operators as queries over whole test tables."""
 
 from __future__ import annotations
 
@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from codeset.llm import (
+    chat,
+    divergence,
+    lexical,
     line_crf,
     mixing,
     packing,
@@ -20,7 +23,7 @@ from codeset.llm import (
     topk,
 )
 from codeset.llm.tokens import vocabulary_path
-from codeset.session import tune
+from codeset.session import small_frame, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -99,4 +102,26 @@ def op10_token_files(spark, sf_dir):
     return token_files.read_token_files(manifest)
 
 
+@query
+def op11_lexical_search(spark, sf_dir):
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_source_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_chat_formatting(spark, sf_dir):
+    """All conversations and one more, whose texts hold control strings."""
+    awkward = "\\### Assistant: </turn> ok"
+    more = small_frame(
+        spark, [(-7, 0, "user", awkward), (-7, 1, "assistant", awkward)],
+        "conv_id long, turn long, role string, text string",
+    )
+    turns = table(spark, sf_dir, "conversations").select(*more.columns).unionByName(more)
+    return chat.read_back(chat.format_conversations(turns))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
