@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import codecs
 import sys
 from collections.abc import Callable, Iterator
 
@@ -11,45 +10,14 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from codeset.functions.encodings import detect_encoding
+
 # Fixed value: detections below this confidence are not trusted.
 MIN_CONFIDENCE = 0.5
 
 # A detector takes bytes and returns (encoding or None, confidence).
 Detector = Callable[[bytes], tuple[str | None, float]]
 
-MARKS = [  # longest first: the UTF-32 mark starts like the UTF-16 one
-    (codecs.BOM_UTF32_LE, "utf-32"),
-    (codecs.BOM_UTF32_BE, "utf-32"),
-    (codecs.BOM_UTF16_LE, "utf-16"),
-    (codecs.BOM_UTF16_BE, "utf-16"),
-]
-TEXT_CONTROLS = b"\t\n\x0b\x0c\r\x1b"
-CONTROLS = bytes(set(range(32)) - set(TEXT_CONTROLS)) + b"\x7f"
-MAX_CONTROLS = 0.02
-ASCII = bytes(range(0x80))
-HIGH_BYTE_WEIGHT = 1.2
-
-
-def detect_encoding(content: bytes) -> tuple[str | None, float]:
-    """Guess the encoding of bytes that are not UTF-8.
-
-    A byte order mark decides.  NULs or many control bytes mean binary data.
-    Else it is single-byte text, less credible the more high bytes it has.
-    """
-    for mark, encoding in MARKS:
-        if content.startswith(mark):
-            return encoding, 1.0
-    controls = len(content) - len(content.translate(None, CONTROLS))
-    if b"\0" in content or controls > MAX_CONTROLS * len(content):
-        return None, 0.0
-    high = len(content.translate(None, ASCII))
-    confidence = 1.0 - HIGH_BYTE_WEIGHT * high / max(len(content), 1)
-    try:
-        content.decode("cp1252")
-    except UnicodeDecodeError:
-        return "latin-1", confidence
-    return "cp1252", confidence
-
 
 def _decode(
     content: bytes | None, detector: Detector, min_confidence: float

@@ -43,7 +43,7 @@ def test_kinds_of_content(spark):
 
 
 def test_detection():
-    assert detect_encoding(b"plain \x81 text here")[0] == "latin-1"
+    assert detect_encoding(b"plain \x81 text here")[1] < 0.5
     assert detect_encoding(b"a\x01\x02\x03\xff")[0] is None
     assert detect_encoding(b"\xe9" * 10)[1] < 0.5
     assert detect_encoding("\x1b[1mcolour\x1b[0m é".encode("latin-1"))[0] == "cp1252"

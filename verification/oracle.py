@@ -210,15 +210,14 @@ CTES = {
     # bytes of the files; the wide ones stand for UTF-16 with a mark
     "bytes": r"""
         SELECT *, CASE doc_kind WHEN 'binary' THEN encode(text) || '\x00\xFF'::BLOB
-                  WHEN 'single' THEN encode(text) || '\xFF'::BLOB
+                  WHEN 'single'
+                  THEN encode(regexp_replace(text, '[^\x00-\x7F]', '', 'g')) || '\xFF'::BLOB
                   ELSE encode(text) END AS content
         FROM (SELECT *, CASE WHEN doc_id % 11 = 0 THEN 'binary'
                 WHEN doc_id % 13 = 0 THEN 'wide' WHEN doc_id % 7 = 0 THEN 'single'
                 ELSE 'plain' END AS doc_kind FROM docs)""",
     "measured": r"""
         SELECT *, doc_kind = 'plain' AS valid, octet_length(content) AS size,
-          octet_length(content) - length(regexp_replace(text, '[^\x00-\x7F]', '', 'g'))
-            AS high,
           length(regexp_replace(text, '[^\x00-\x08\x0E-\x1A\x1C-\x1F\x7F]', '', 'g'))
             AS controls
         FROM bytes""",
@@ -229,14 +228,13 @@ CTES = {
         FROM (SELECT *, CASE WHEN valid THEN 'utf-8'
             WHEN doc_kind = 'wide' THEN 'utf-16'
             WHEN doc_kind = 'binary' OR contains(text, chr(0)) OR controls > 0.02 * size
-              OR 1 - 1.2::DOUBLE * high / size < 0.5 THEN NULL
-            WHEN regexp_matches(hex(content), '^([0-9A-F]{2})*(81|8D|8F|90|9D)')
-            THEN 'latin-1' ELSE 'cp1252' END AS encoding FROM measured)""",
+            THEN NULL ELSE 'cp1252' END AS encoding FROM measured)""",
     # the same with neither UTF-16 nor a stand-in for the ok flag
     "mixed": r"""
         SELECT * EXCLUDE (ok), octet_length(content) AS size
         FROM (SELECT *, CASE WHEN doc_id % 11 = 0 THEN encode(text) || '\x00\xFF'::BLOB
-            WHEN doc_id % 7 = 0 THEN encode(text) || '\xFF'::BLOB
+            WHEN doc_id % 7 = 0
+            THEN encode(regexp_replace(text, '[^\x00-\x7F]', '', 'g')) || '\xFF'::BLOB
             ELSE encode(text) END AS content FROM docs)""",
     "built": r"""
         SELECT * EXCLUDE (content, text),
@@ -244,9 +242,7 @@ CTES = {
           CASE WHEN doc_id % 11 = 0 THEN false WHEN doc_id % 7 <> 0 THEN true
             ELSE NOT contains(text, chr(0))
               AND length(regexp_replace(text,
-                '[^\x00-\x08\x0E-\x1A\x1C-\x1F\x7F]', '', 'g')) <= 0.02 * size
-              AND 1 - 1.2::DOUBLE * (size - length(regexp_replace(text,
-                '[^\x00-\x7F]', '', 'g'))) / size >= 0.5 END AS ok,
+                '[^\x00-\x08\x0E-\x1A\x1C-\x1F\x7F]', '', 'g')) <= 0.02 * size END AS ok,
           CASE WHEN doc_id % 7 = 0 THEN size ELSE length(text) END AS n_chars
         FROM mixed""",
     **_chain("built_", "built", QUOTAS),
@@ -455,6 +451,16 @@ _SQL = {
         SELECT extract_to, language, repository_dirname, rank, usage FROM planned""",
     "split_report": "SELECT * FROM split_counts",
     "decode_contents": "SELECT * FROM decoded",
+    "detect_encodings": f"""
+        SELECT repository_dirname, filename, n_letters, n_chars,
+          CASE WHEN n_letters >= {views.ENOUGH_LETTERS} THEN CASE doc_id % {len(views.WRITTEN_IN)}
+            {" ".join(f"WHEN {i} THEN '{name}'" for i, (name, _) in enumerate(views.WRITTEN_IN))}
+            END END AS encoding
+        FROM (SELECT *, CASE WHEN length(regexp_replace(plain, '[^a-z]', '', 'g')) >= {views.ENOUGH_LETTERS}
+            THEN length(plain) END AS n_chars,
+            length(regexp_replace(plain, '[^a-z]', '', 'g')) AS n_letters
+          FROM (SELECT *, lower(regexp_replace(coalesce(text, ''), '[^\\x20-\\x7E\\n]', '', 'g'))
+            AS plain FROM docs))""",
     "select_quota": "SELECT extract_to, language, usage, rank, status FROM extracted",
     "resume_quota": "SELECT extract_to, language, usage, rank, status FROM second_run",
     "update_status": "SELECT extract_to, status FROM first_run",

@@ -382,6 +382,18 @@ def decode_contents(spark, sf_dir):
     )
 
 
+@query
+def detect_encodings(spark, sf_dir):
+    """Files of ten encodings; what is found is compared where letters are enough."""
+    files = decode_files(views.legacy_files(spark, sf_dir))
+    enough = F.col("n_letters") >= views.ENOUGH_LETTERS
+    return files.select(
+        "repository_dirname", "filename", F.col("n_letters").cast("bigint").alias("n_letters"),
+        F.when(enough, F.length("text")).cast("bigint").alias("n_chars"),
+        F.when(enough, F.col("encoding")).alias("encoding"),
+    )
+
+
 @query
 def unreachable_files(spark, sf_dir):
     """Files whose content is missing: only labelled documents have one."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -118,7 +119,8 @@ def file_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "filename",
         """CASE WHEN doc_id % 11 = 0 THEN concat(encode(text, 'UTF-8'), X'00FF')
                 WHEN doc_id % 13 = 0 THEN encode(text, 'UTF-16')
-                WHEN doc_id % 7 = 0 THEN concat(encode(text, 'UTF-8'), X'FF')
+                WHEN doc_id % 7 = 0
+                THEN concat(encode(regexp_replace(text, '[^\\\\x00-\\\\x7F]', ''), 'UTF-8'), X'FF')
                 ELSE encode(text, 'UTF-8') END AS content""",
     )
 
@@ -129,11 +131,49 @@ def mixed_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "repository_dirname",
         "filename",
         """CASE WHEN doc_id % 11 = 0 THEN concat(encode(text, 'UTF-8'), X'00FF')
-                WHEN doc_id % 7 = 0 THEN concat(encode(text, 'UTF-8'), X'FF')
+                WHEN doc_id % 7 = 0
+                THEN concat(encode(regexp_replace(text, '[^\\\\x00-\\\\x7F]', ''), 'UTF-8'), X'FF')
                 ELSE encode(text, 'UTF-8') END AS content""",
     )
 
 
+# The letters of English by how common they are, and letters for them in files
+# of an encoding: (encoding, letters).  The first of equal encodings is found.
+COMMON_LETTERS = "etaoinshrdlcumwfgypbvkjxqz"
+WRITTEN_IN = (
+    ("cp1252", "éta" + COMMON_LETTERS[3:]),
+    ("cp1251", "оеаинтсрвлкмдпуяыьгзбчйхжш"),
+    ("koi8-r", "оеаинтсрвлкмдпуяыьгзбчйхжш"),
+    ("cp1253", "αοιετσνρςίόυηπκλμάγδωθέχφβ"),
+    ("cp1255", "יוהלארתבמשנםעדקחפכצגטסזןץך"),
+    ("cp932", "のいをにはたとしるがでてなあれかすらリンスクトル関数"),
+    ("euc_jp", "のいをにはたとしるがでてなあれかすらリンスクトル関数"),
+    ("gb18030", "的一是不了人我在有他这为之大来以个中上们到说国和地也"),
+    ("big5", "的一是不了人我在有他這為之大來以個中上們到說國和地也"),
+    ("cp949", "이다는에의을가고하지한은로기사리도를어인시자서해나대"),
+)
+ENOUGH_LETTERS = 200
+
+
+def legacy_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files written in ten encodings, in letters of their languages."""
+
+    def encoded(texts: pd.Series, encodings: pd.Series) -> pd.Series:
+        return pd.Series([t.encode(e) for t, e in zip(texts, encodings)], dtype=object)
+
+    plain = F.lower(F.regexp_replace(F.coalesce("text", F.lit("")), r"[^\x20-\x7E\n]", ""))
+    kind = F.pmod("doc_id", F.lit(len(WRITTEN_IN)))
+    text, encoding = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for number, (name, letters) in enumerate(WRITTEN_IN):
+        text = F.when(kind == number, F.translate("_plain", COMMON_LETTERS, letters)).otherwise(text)
+        encoding = F.when(kind == number, F.lit(name)).otherwise(encoding)
+    n_letters = F.length(F.regexp_replace("_plain", "[^a-z]", ""))
+    written = F.pandas_udf(encoded, "binary")(text, encoding)
+    return documents(spark, sf_dir).withColumn("_plain", plain).select(
+        "repository_dirname", "filename", n_letters.alias("n_letters"), written.alias("content")
+    )
+
+
 def letters_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files that hold the Latin letters of a document, or nothing."""
     letters = F.regexp_replace("text", "[^A-Za-z]", "")
