@@ -12,11 +12,15 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 
+ARROW_BYTES = 32 << 20  # of a batch that goes to a Python worker, about
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Set the runtime options that the plans of this package rely on."""
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return spark
 
 
