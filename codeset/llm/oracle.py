@@ -4,7 +4,7 @@ The others are tested against brute force: positions of matches, tokens,
 fingerprints, learnt scores, keyed hashes and linear programs have no SQL.
 """
 
-from codeset.llm.quality_rules import ERROR, RISK, RULES
+from codeset.llm.quality_rules import ERROR, POOL, RISK, RULES
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -66,47 +66,48 @@ WITH documents_ AS (
     SELECT doc_id, min(quality) AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id
 ), held AS (
     SELECT * FROM measured JOIN quality_ USING (doc_id) WHERE NOT base_failed
-), rules(rule, place, cutoff) AS (VALUES {cutoffs})
+)
 """
 
 
 def _quality_sql() -> str:
-    cutoffs = ", ".join(
-        f"({r}, {c}, CAST({float(cutoff)!r} AS DOUBLE))"
-        for r, rule in enumerate(RULES)
-        for c, cutoff in enumerate(rule.cutoffs)
-    )
-    value = "CASE rule " + " ".join(
-        f"WHEN {r} THEN {rule.measure}" for r, rule in enumerate(RULES)
-    ) + " END"
-    share = RISK / len(RULES)
-    return _MEASURES.replace("{cutoffs}", cutoffs) + f"""
-, counts AS (
-    SELECT stratum, rule, place, cutoff, sum(good) AS n,
-           count(*) FILTER (WHERE good = 1 AND {value} > cutoff) AS k,
-           count(*) FILTER (WHERE good = 0 AND {value} > cutoff) AS caught
-    FROM held, rules GROUP BY ALL
+    def over(level: int) -> str:
+        return " OR ".join(
+            f"coalesce({rule.measure} > CAST({float(rule.cutoffs[level])!r} AS DOUBLE), false)" for rule in RULES
+        )
+
+    levels = range(len(RULES[0].cutoffs))
+    level = "CASE " + " ".join(f"WHEN {over(i)} THEN {i}" for i in levels) + " END"
+    return _MEASURES + f"""
+, levelled AS (
+    SELECT *, {level} AS level FROM held
 ), strata AS (
-    SELECT count(DISTINCT stratum) AS strata FROM held
+    SELECT stratum, sum(good) AS n FROM levelled GROUP BY stratum
+), pools AS (
+    SELECT stratum, CASE WHEN n < ceil(ln({ERROR!r}::DOUBLE / (SELECT count(*) FROM strata)) / ln(1 - {RISK!r}::DOUBLE))
+                    THEN '{POOL}' ELSE stratum END AS pool
+    FROM strata
+), counts AS (
+    SELECT pool, place, sum(good) AS n,
+           count(*) FILTER (WHERE good = 1 AND level <= place) AS k,
+           count(*) FILTER (WHERE good = 0 AND level <= place) AS caught
+    FROM levelled JOIN pools USING (stratum), range({len(levels)}) p(place) GROUP BY ALL
 ), tests AS (
-    SELECT stratum, rule, place, cutoff, caught,
-           k <= n * {share!r} AND coalesce(list_sum(list_transform(range(0, k + 1), lambda i: exp(
+    SELECT pool, place, caught,
+           k <= n * {RISK!r}::DOUBLE AND coalesce(list_sum(list_transform(range(0, k + 1), lambda i: exp(
                lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
-               + i * ln({share!r}) + (n - i) * ln(1 - {share!r})
-           ))), 0) <= {ERROR / len(RULES)!r} / strata AS passed
-    FROM counts, strata
+               + i * ln({RISK!r}::DOUBLE) + (n - i) * ln(1 - {RISK!r}::DOUBLE)
+           ))), 0) <= {ERROR!r}::DOUBLE / (SELECT count(DISTINCT pool) FROM pools) AS passed
+    FROM counts
 ), certified AS (
-    SELECT * FROM tests
-    QUALIFY bool_and(passed) OVER (PARTITION BY stratum, rule ORDER BY place)
+    SELECT * FROM tests QUALIFY bool_and(passed) OVER (PARTITION BY pool ORDER BY place)
 ), chosen AS (
-    SELECT stratum, rule, cutoff FROM certified WHERE caught > 0
-    QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY caught DESC, place) = 1
-), rejected AS (
-    SELECT DISTINCT doc_id FROM measured JOIN chosen USING (stratum) WHERE {value} > cutoff
+    SELECT pool, place AS chosen FROM certified WHERE caught > 0
+    QUALIFY row_number() OVER (PARTITION BY pool ORDER BY caught DESC, place) = 1
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND rejected.doc_id IS NULL AS kept
-FROM measured LEFT JOIN rejected USING (doc_id)
+       NOT base_failed AND NOT coalesce({level} <= chosen, false) AS kept
+FROM measured LEFT JOIN pools USING (stratum) LEFT JOIN chosen USING (pool)
 """
 
 

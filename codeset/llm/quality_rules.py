@@ -7,6 +7,7 @@ than ``risk`` of the stratum's good documents.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,9 +26,10 @@ MAX_REPEATED = 30  # percent
 
 @dataclass(frozen=True)
 class Rule:
-    """Rejects a document whose measure exceeds a cutoff.
+    """Rejects a document whose measure exceeds the cutoff of a level.
 
-    ``cutoffs`` go from the most lenient to the strictest, fixed beforehand.
+    ``cutoffs`` go from the most lenient level to the strictest, fixed
+    beforehand; all rules have the same number of levels.
     """
 
     name: str
@@ -36,15 +38,16 @@ class Rule:
 
 
 RULES = (
-    Rule("symbols", "n_symbols / nullif(word_chars, 0)", (0.5, 0.3, 0.2, 0.15, 0.1, 0.07, 0.05, 0.03, 0.02)),
+    Rule("symbols", "n_symbols / nullif(word_chars, 0)", (0.5, 0.3, 0.2, 0.15, 0.1, 0.07, 0.05, 0.03)),
     Rule("shouting", "n_upper / nullif(word_chars, 0)", (0.8, 0.6, 0.5, 0.4, 0.3, 0.2, 0.15, 0.1)),
-    Rule("marks", "n_marks / nullif(word_chars, 0)", (0.5, 0.3, 0.2, 0.15, 0.1, 0.07, 0.05, 0.03, 0.02)),
+    Rule("marks", "n_marks / nullif(word_chars, 0)", (0.5, 0.3, 0.2, 0.15, 0.1, 0.07, 0.05, 0.03)),
     Rule("repeats", "n_repeat_words / nullif(n_words, 0)", (0.28, 0.25, 0.2, 0.15, 0.12, 0.1, 0.07, 0.05)),
-    Rule("lines", "n_dup_lines / nullif(n_words, 0)", (0.3, 0.2, 0.1, 0.07, 0.05, 0.03, 0.02)),
-    Rule("long_words", "word_chars / nullif(n_words, 0)", (40, 25, 18, 15, 13, 12, 11, 10, 9)),
+    Rule("lines", "n_dup_lines / nullif(n_words, 0)", (0.4, 0.3, 0.2, 0.1, 0.07, 0.05, 0.03, 0.02)),
+    Rule("long_words", "word_chars / nullif(n_words, 0)", (40, 25, 18, 15, 13, 12, 11, 10)),
 )
 RISK = 0.01  # of a stratum's good documents, over all rules
-ERROR = 0.05  # that any certified cutoff is wrong, over all strata and rules
+ERROR = 0.05  # that any stratum's cutoffs are wrong
+POOL = "(small strata)"  # strata with too few labels share one
 
 
 def with_measures(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -125,51 +128,96 @@ def binomial_cdf(k: Column, n: Column, p: float) -> Column:
     )
 
 
-def certified_cutoffs(
-    measured: DataFrame, labels: DataFrame, rules: tuple[Rule, ...], risk: float, error: float,
+def level_of(rules: tuple[Rule, ...]) -> Column:
+    """The first level at which some rule rejects a document; null if none does."""
+    found = F.lit(None).cast("int")
+    for level in range(len(rules[0].cutoffs) - 1, -1, -1):
+        over = F.lit(False)
+        for rule in rules:
+            over = over | F.coalesce(F.expr(rule.measure) > float(rule.cutoffs[level]), F.lit(False))
+        found = F.when(over, level).otherwise(found)
+    return found
+
+
+def certified_levels(
+    levelled: DataFrame, labels: DataFrame, levels: int, risk: float, error: float,
     key: str, stratum: str,
 ) -> DataFrame:
-    """(stratum, rule number, cutoff) of the certified cutoff that catches most.
-
-    For each stratum and rule the cutoffs are tested from the most lenient
-    one on, each at the full level, up to the first that fails (a fixed
-    sequence); levels are divided by the number of strata and rules
-    (Bonferroni), and ``risk`` by the number of rules.  Of the certified
-    cutoffs the most lenient one that rejects most bad documents is taken.
+    """(stratum, chosen): the certified level of each stratum that catches most.
+
+    A level joins the cutoffs of all rules, so levels are nested: each rejects
+    what the more lenient ones reject.  For each stratum they are tested from
+    the most lenient one on, at the full ``risk``, up to the first that an
+    exact binomial test does not certify (a fixed sequence, which needs no
+    correction); ``error`` is divided by the strata (Bonferroni).  Strata with
+    so few good labels that none could be certified are pooled before any
+    outcome is seen, and the bound holds for the pool.  Of the certified
+    levels the most lenient one that rejects most bad documents is chosen.
     """
     quality = labels.where("quality is not null").groupBy(key).agg(F.min("quality").alias("_good"))
-    held = measured.where(~F.col("base_failed")).join(quality, key)
-    counts = [F.sum("_good").alias("n")]
-    for r, rule in enumerate(rules):
-        for c, cutoff in enumerate(rule.cutoffs):
-            over = F.expr(rule.measure) > F.lit(float(cutoff))
-            good = F.count(F.when(over & (F.col("_good") == 1), 1))
-            bad = F.count(F.when(over & (F.col("_good") == 0), 1))
-            counts.append(
-                F.struct(
-                    F.lit(r).alias("rule"), F.lit(c).alias("place"),
-                    F.lit(float(cutoff)).alias("cutoff"), good.alias("k"), bad.alias("caught"),
-                ).alias(f"_test_{r}_{c}")
-            )
-    by_stratum = held.groupBy(stratum).agg(*counts)
-    tests = by_stratum.withColumn("strata", F.count(F.lit(1)).over(Window.partitionBy())).select(
-        stratum, "n", "strata",
-        F.inline(F.array(*(F.col(c) for c in by_stratum.columns if c.startswith("_test_")))),
+    held = levelled.where(~F.col("base_failed")).join(quality, key)
+    by_level = [
+        F.struct(
+            F.lit(c).alias("place"),
+            F.count(F.when((F.col("_level") <= c) & (F.col("_good") == 1), 1)).alias("k"),
+            F.count(F.when((F.col("_level") <= c) & (F.col("_good") == 0), 1)).alias("caught"),
+        ).alias(f"_level_{c}")
+        for c in range(levels)
+    ]
+    counts = held.groupBy(stratum).agg(F.sum("_good").alias("n"), *by_level)
+    everything = Window.partitionBy()  # one row per stratum
+    sized = counts.withColumn("_strata", F.count(F.lit(1)).over(everything))
+    needed = F.ceil(F.ln(F.lit(error) / F.col("_strata")) / math.log(1 - risk))
+    named = sized.withColumn(
+        "_pool", F.when(F.col("n") < needed, F.lit(POOL)).otherwise(F.col(stratum))
+    )
+    tests = (
+        named.select(
+            "_pool", "n", F.inline(F.array(*(F.col(f"_level_{c}") for c in range(levels))))
+        )
+        .groupBy("_pool", "place")
+        .agg(F.sum("n").alias("n"), F.sum("k").alias("k"), F.sum("caught").alias("caught"))
+        .withColumn("families", F.count(F.lit(1)).over(Window.partitionBy("place")))
     )
-    share = risk / len(rules)
-    level = F.lit(error / len(rules)) / F.col("strata")
     passed = F.when(
-        F.col("k") <= F.col("n") * share, binomial_cdf(F.col("k"), F.col("n"), share) <= level
+        F.col("k") <= F.col("n") * risk,
+        binomial_cdf(F.col("k"), F.col("n"), risk) <= F.lit(error) / F.col("families"),
     ).otherwise(False)
-    so_far = Window.partitionBy(stratum, "rule").orderBy("place")
-    best = F.struct("caught", (-F.col("place")).alias("lenient"), "cutoff")
-    return (
+    so_far = Window.partitionBy("_pool").orderBy("place")
+    best = F.struct("caught", (-F.col("place")).alias("lenient"), "place")
+    chosen = (
         tests.withColumn("_passed", passed)
         .withColumn("_passed", F.min("_passed").over(so_far))
         .where(F.col("_passed") & (F.col("caught") > 0))
-        .groupBy(stratum, "rule")
-        .agg(F.max(best)["cutoff"].alias("cutoff"))
+        .groupBy("_pool")
+        .agg(F.max(best)["place"].alias("chosen"))
     )
+    return named.join(chosen, "_pool").select(stratum, "chosen")
+
+
+def with_verdict(
+    docs: DataFrame, labels: DataFrame, carried: list[str], rules: tuple[Rule, ...] = RULES,
+    risk: float = RISK, error: float = ERROR,
+    key: str = "doc_id", text: str = "text", stratum: str = "lang",
+) -> DataFrame:
+    """The ``carried`` columns of each row with its measures, base_failed and kept.
+
+    Measured rows are landed once, so that each row has its own verdict
+    without a join by its key; the few certified levels are joined by stratum.
+    """
+    source = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in carried)).alias("_row"), F.col(key).alias("_key"),
+        F.coalesce(F.col(stratum), F.lit("")).alias("_stratum"), F.col(text).alias("_text"),
+    )
+    measured = land(
+        with_measures(source, "_text").drop("_text").withColumn("_level", level_of(rules)), "measures"
+    )
+    known = labels.select(F.col(key).alias("_key"), "quality")
+    chosen = certified_levels(
+        measured, known, len(rules[0].cutoffs), risk, error, "_key", "_stratum"
+    )
+    over = F.coalesce(F.col("_level") <= F.col("chosen"), F.lit(False))
+    return measured.join(chosen, "_stratum", "left").withColumn("kept", ~F.col("base_failed") & ~over)
 
 
 def judge(
@@ -179,28 +227,14 @@ def judge(
 ) -> DataFrame:
     """(key, measures, base_failed, kept) of each row.
 
-    ``kept`` is false for rows that fail the base rules or exceed a certified
-    cutoff of their stratum.  Strata without enough labels have no cutoffs
-    and keep what passes the base rules; null strata count as one; a key with
-    several labels takes the lowest; repeated rows are judged each; other
-    columns are left out.
+    ``kept`` is false for rows that fail the base rules or that the certified
+    level of their stratum rejects.  Strata without a certified level keep
+    what passes the base rules; null strata count as one; a key with several
+    labels takes the lowest; repeated rows are judged each; other columns are
+    left out.
     """
-    source = docs.select(key, F.coalesce(F.col(stratum), F.lit("")).alias("_stratum"), text)
-    measured = land(with_measures(source, text).drop(text), "measures")
-    cutoffs = certified_cutoffs(measured, labels, rules, risk, error, key, "_stratum")
-    wide = cutoffs.groupBy("_stratum").agg(
-        *(F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"_cutoff_{r}")
-          for r in range(len(rules)))
-    )
-    over = F.lit(False)
-    for r, rule in enumerate(rules):
-        over = over | F.coalesce(F.expr(rule.measure) > F.col(f"_cutoff_{r}"), F.lit(False))
-    kept = F.when(F.col("base_failed"), False).otherwise(~over)
-    return (
-        measured.join(wide, "_stratum", "left")
-        .withColumn("kept", kept)
-        .select(
-            key, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-            "base_failed", "kept",
-        )
+    judged = with_verdict(docs, labels, [key], rules, risk, error, key, text, stratum)
+    return judged.select(
+        F.col("_row")[key].alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        "n_repeat_words", "base_failed", "kept",
     )
