@@ -19,7 +19,7 @@ from codeset.session import land
 SCALE = 1_000_000_000  # of probabilities
 MIN_DOCUMENTS = 3  # of the language, that hold a kept term
 TOP = 200
-COUNT_BYTES = 16 << 20  # of text that is sorted at a time
+COUNT_BYTES = 8 << 20  # of text that is sorted at a time
 BUCKET_ROWS = 200_000  # (source, term) rows that one task compares, about
 CELLS = 1 << 21  # of the table of sources and terms that is held at a time
 

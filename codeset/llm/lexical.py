@@ -22,7 +22,8 @@ NORM, NORM_SHARE = 100, 90  # an average document's norm, and the share its leng
 TF_SCALE, NORM_SCALE = 1000, 8
 
 K = 10
-BAG_BYTES = 8 << 20  # of text whose terms are counted at a time
+BAG_BYTES = 4 << 20  # of text whose terms are counted at a time
+GROUP_DOCS = 1 << 14  # of a stratum, that one task indexes, about
 BLOCK_DOCS = 4096  # documents of a block, at most
 BLOCK_POSTINGS = 1 << 18  # after which a block is closed
 POSTINGS_AT_ONCE = 1 << 21  # that are added up at a time
@@ -155,16 +156,25 @@ class Index:
 def build(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Index:
     """Index every row: strata of documents of equal norm, in blocks.
 
-    Rows are dealt to ranges of (norm, hash), so a stratum of any size is
-    shared by tasks; each task turns its rows into blocks as they come.
+    Strata are dealt by hash of the norm, so the few long documents of high
+    norms do not meet in one task.  A stratum of more than ``GROUP_DOCS`` is
+    shared by tasks; the table of these is broadcast, with at most one row
+    per ``GROUP_DOCS`` documents.  Each task turns its rows into blocks as
+    they come.
     """
     held = bags(docs, key, text)
     row = held.agg(F.count(F.lit(1)), F.sum("n")).first()
     count, total = row[0], row[1] or 0
-    order = ["m", F.xxhash64("id", "n")]
+    normed = held.withColumn("m", norm(count, total))
+    large = normed.groupBy("m").count().where(F.col("count") > GROUP_DOCS).select(
+        "m", F.ceil(F.col("count") / GROUP_DOCS).alias("_parts")
+    )
+    part = F.pmod(F.xxhash64("id", "n"), F.coalesce("_parts", F.lit(1)))
     dealt = (
-        held.select("id", norm(count, total).alias("m"), "terms", "tfs")
-        .repartitionByRange(*order).sortWithinPartitions("m")
+        normed.join(F.broadcast(large), "m", "left")
+        .select("id", "m", "terms", "tfs", part.alias("_part"))
+        .repartition("m", "_part").sortWithinPartitions("m", "_part")
+        .select("id", "m", "terms", "tfs")
     )
     blocks = land(dealt.mapInArrow(indexed, INDEX_SCHEMA), "lexical-index")
     return Index(blocks, held, count, total)
