@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codeset.llm.arrow import by_bytes
@@ -60,21 +60,28 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def with_fingerprint(
-    docs: DataFrame, shingle: int = SHINGLE, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, shingle: int = SHINGLE, key: str = "doc_id", text: str = "text",
+    **more: Column,
 ) -> DataFrame:
-    """(key, fp) of each row; fp is the fingerprint as a signed long."""
-    source = docs.select(key, F.coalesce(text, F.lit("")).cast("binary").alias("_text"))
+    """(key, fp, more columns) of each row; fp is the fingerprint as a signed long."""
+    source = docs.select(
+        key, F.coalesce(text, F.lit("")).cast("binary").alias("_text"),
+        *(column.alias(name) for name, column in more.items()),
+    )
+    names = list(more)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "_text"):
             texts = batch.column("_text").to_pylist()
             prints = np.array([fingerprint(t, shingle) for t in texts], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(key), pa.array(prints.view(np.int64))], [key, "fp"]
+                [batch.column(key), pa.array(prints.view(np.int64)), *map(batch.column, names)],
+                [key, "fp", *names],
             )
 
-    schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, fp long"
-    return source.mapInArrow(compute, schema)
+    kinds = {name: source.schema[name].dataType.simpleString() for name in (key, *names)}
+    added = "".join(f", `{name}` {kinds[name]}" for name in names)
+    return source.mapInArrow(compute, f"`{key}` {kinds[key]}, fp long{added}")
 
 
 def segments(max_bits: int) -> list[tuple[int, int]]:
@@ -226,6 +233,21 @@ def with_roots(nodes: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
+def with_groups(prints: DataFrame, max_bits: int, key: str) -> DataFrame:
+    """``prints`` with the ``root`` of each fingerprint and the ``component_id``.
+
+    Equal fingerprints are one node, so copies cost no pairs; links to the
+    smallest sharer of each segment are drawn first, and then those of all
+    pairs that are still apart.
+    """
+    nodes = land(prints.groupBy("fp").agg(F.min(key).alias("least")), "distinct-fingerprints")
+    grouped = with_roots(nodes.withColumn("root", F.col("fp")), hub_links(nodes, max_bits))
+    grouped = with_roots(grouped, near_links(grouped, max_bits))
+    named = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
+    found = grouped.join(named, "root").select("fp", "root", "component_id")
+    return prints.join(found, "fp")
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
     key: str = "doc_id", text: str = "text",
@@ -235,18 +257,40 @@ def near_duplicates(
     Words are runs without ASCII white space, A-Z in lower case; the hashes
     of all word shingles, repeats included, vote on each bit.  Texts without
     words have fingerprint zero and are linked like any other; null texts
-    count as empty.  Equal fingerprints are one node, so copies cost no
-    pairs; links to the smallest sharer of each segment are drawn first, and
-    then those of all pairs that are still apart.  ``component_id`` is the smallest key that can be reached; rows
-    with a null key take their component's, which is null if no key is known.
-    Repeated rows are kept; other columns are left out.
+    count as empty.  ``component_id`` is the smallest key that can be reached;
+    rows with a null key take their component's, which is null if no key is
+    known.  Repeated rows are kept; other columns are left out.
     """
     prints = land(with_fingerprint(docs, shingle, key, text), "fingerprints")
-    nodes = land(prints.groupBy("fp").agg(F.min(key).alias("least")), "distinct-fingerprints")
-    grouped = with_roots(nodes.withColumn("root", F.col("fp")), hub_links(nodes, max_bits))
-    grouped = with_roots(grouped, near_links(grouped, max_bits))
-    named = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = grouped.join(named, "root").select("fp", "component_id")
-    return prints.join(found, "fp").select(
+    return with_groups(prints, max_bits, key).select(
         key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(
+    docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
+    key: str = "doc_id", text: str = "text",
+) -> DataFrame:
+    """One row of each component, with the input's columns.
+
+    It is a row with the component's smallest key, or without one if no key
+    is known; of several such rows the one whose text, then whose columns have
+    the smallest hash, so exactly one row stays even if keys or rows repeat.
+    """
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    tag = F.xxhash64(F.col(key).isNull(), F.col(key), F.coalesce(text, F.lit("")))
+    prints = land(with_fingerprint(docs, shingle, key, text, _tag=tag), "fingerprints")
+    first = F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "_tag"))
+    chosen = with_groups(prints, max_bits, key).groupBy("root").agg(first.alias("_first"))
+    wanted = chosen.select(
+        F.coalesce(F.hash("_first.key"), F.lit(0)).alias("_key"), F.col("_first._tag").alias("_tag")
+    )
+    rows = docs.select(
+        whole.alias("_row"), F.coalesce(F.hash(key), F.lit(0)).alias("_key"), tag.alias("_tag")
+    )
+    of_key = Window.partitionBy("_key", "_tag").orderBy(F.xxhash64("_row"))
+    return (
+        rows.join(wanted, ["_key", "_tag"])
+        .withColumn("_place", F.row_number().over(of_key)).where(F.col("_place") == 1)
+        .select("_row.*")
+    )

@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 import corpus_pipeline
-from codeset.llm import mixing, pii, quality_rules
+from codeset.llm import mixing, pii, quality_rules, simhash
 from codeset.session import land
 from test_simhash import brute_fingerprint, brute_groups
 
@@ -45,12 +45,27 @@ def test_quality_rules(spark, stages):
 
 def test_near_copies(stages):
     before, after = (by_id(df) for df in stages["simhash_near_dedup"])
-    prints = {k: brute_fingerprint(row["text"], corpus_pipeline.SHINGLE) for k, row in before.items()}
-    groups = brute_groups(prints, corpus_pipeline.MAX_BITS)
+    prints = {k: brute_fingerprint(row["text"], simhash.SHINGLE) for k, row in before.items()}
+    groups = brute_groups(prints, simhash.MAX_BITS)
     assert after.keys() == set(groups.values())
     assert all(after[k] == before[k] for k in after)
 
 
+def test_rows_of_one_id_are_judged_each(spark, tmp_path):
+    """Verdicts hold for rows: a bad text does not take a good one of its id along."""
+    good = [" ".join(f"{name}{i}" for i in range(40)) for name in ("red", "blue", "green")]
+    rows = [(1, good[0]), (1, "short"), (1, good[1]), (2, good[0]), (None, good[2]), (None, "x"), (None, good[2])]
+    docs = spark.createDataFrame(
+        [(i, t, "en", "a", len(t)) for i, t in rows],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = corpus_pipeline.keep_good(spark, docs, str(tmp_path))
+    assert Counter(r["text"] for r in kept.collect()) == Counter(t for _, t in rows if t in good)
+    left = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, kept, "").collect()]
+    assert sorted(left, key=repr) == sorted([(1, good[0]), (1, good[1]), (None, good[2])], key=repr)
+
+
 def test_personal_data(stages):
     before, after = stages["pii_pseudonyms"]
     want = by_id(pii.pseudonymise(before.select("doc_id", "text"), corpus_pipeline.PII_KEY))
@@ -82,7 +97,7 @@ def test_packing(stages):
 
 def test_registered():
     names = list(entry_module.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names
 

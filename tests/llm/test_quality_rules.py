@@ -71,7 +71,22 @@ def test_risk_is_bounded(spark):
     assert quality_rules.judge(few, few.select("doc_id", "quality")).where("not kept").isEmpty()
 
 
-@pytest.mark.parametrize("scale", ["0.001", "0.01"])
+def test_fresh_rows_are_rejected_less_than_the_risk(spark):
+    """Levels certified on half of the labels hold on the other half."""
+    sf_dir = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    half = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    judged = quality_rules.judge(docs, labels.where(half), risk=0.02)
+    fresh = judged.join(labels.where(~half), "doc_id").where("not base_failed")
+    rates = {
+        row["quality"]: row["rate"]
+        for row in fresh.groupBy("quality").agg(F.avg((~F.col("kept")).cast("int")).alias("rate")).collect()
+    }
+    assert rates[1] < 0.02 and rates[0] > 0.1
+
+
+@pytest.mark.parametrize("scale", ["0.001", "0.1"])
 def test_query_equals_sql(spark, scale):
     sf_dir = f"/root/testdata/sf{scale}"
     database = check_oracle.connect(sf_dir)
@@ -79,6 +94,12 @@ def test_query_equals_sql(spark, scale):
     assert problem is None and rows > 0
 
 
+def test_levels_are_certified(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    tables = [spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels")]
+    assert not quality_rules.judge(*tables).where("not kept and not base_failed").isEmpty()
+
+
 def test_no_python(documents, labels):
     plan = quality_rules.judge(documents, labels)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
