@@ -7,36 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeset.llm import mixing, near_copies, packing, pii, quality_rules
+from codeset.llm import mixing, packing, pii, quality_rules, simhash
 from codeset.llm.tokens import vocabulary_path
 from codeset.session import land, tune
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-SHINGLE = 5  # words
-MIN_JACCARD = 0.8  # of the shingle sets
-# Fingerprints within seven of 64 bits are candidates, beside texts that share a MinHash band.
-MAX_BITS = 7
 PII_KEY = "a key of the operator's choice"  # production takes it from a secret store
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules."""
+    """Rows that pass the quality rules, each judged by its own text."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    judged = quality_rules.judge(docs, labels)
-    rejected = judged.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    return quality_rules.with_verdict(docs, labels, docs.columns).where("kept").select("_row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group; one row of repeated rows.
-
-    Rows without an id cannot be told apart by it and stay.
-    """
-    groups = near_copies.near_copies(docs, SHINGLE, MAX_BITS, MIN_JACCARD)
-    copies = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(copies, "doc_id", "left_anti")
-    return kept.select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    """One document of each group of linked fingerprints, the one with the smallest id."""
+    return simhash.one_of_each(docs)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
