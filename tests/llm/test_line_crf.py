@@ -50,15 +50,67 @@ def test_neighbours_and_features():
 def test_learns_from_neighbours():
     rng = np.random.default_rng(3)
     good = rng.random(300) < 0.5
-    lines = some_lines(rng.integers(1, 8, 300), 3, 4)
-    truth = np.repeat(good, np.diff(lines.starts))
-    lines.x[:, 0], lines.x[:, 1] = 1, truth * 1.0 + rng.normal(0, 1, len(truth))
+    lengths = rng.integers(1, 8, 300)
+    truth = np.repeat(good, lengths)
+    own = np.stack([np.ones(len(truth)), truth + rng.normal(0, 1, len(truth))], 1)
+    starts = np.concatenate([[0], np.cumsum(lengths)])
+    lines = Lines.beside(own, rng.uniform(1, 9, len(truth)), starts)
     chain = line_crf.fit_chain(lines, good)
-    quality = chain.quality(lines)
-    assert ((quality > 0.5) == good).mean() > 0.8
+    assert ((chain.quality(lines) > 0.5) == good).mean() > 0.75
     assert chain.moves[0, 0] + chain.moves[1, 1] > chain.moves[0, 1] + chain.moves[1, 0]
 
 
+def test_labels_of_hidden_lines():
+    lines = Lines(np.zeros((5, 3)), np.array([4.0, 4, 2, 1, 1]), np.array([0, 3, 5]))
+    found = line_crf.line_labels(lines, np.array([0, 1]), np.array([0.9, 0.6, 0.2, 0.1, 0.1]))
+    assert found.tolist() == [1, 0, 0, 1, 1]  # the worst half of the first document's text
+
+
+def labelled(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return docs, labels
+
+
+def test_bad_lines_inside_good_documents(spark):
+    """Lines of bad documents put into unseen good ones are found, and their neighbours stay good."""
+    docs, labels = labelled(spark, "/root/testdata/sf0.1")
+    model = line_crf.train(docs, labels)
+    unseen = docs.where(line_crf.held_out("doc_id")).join(labels.where("quality = 1"), "doc_id")
+    goods = [r["text"].split("\n") for r in unseen.select("text").collect() if r["text"].count("\n") >= 4]
+    bads = ["BUYNOW!! CHEAP!! OFFERS!! TODAY!! ONLY!! CLICK!! HERE!! FOR!! MORE!! DEALS!!",
+            "word$$$ other### the&&& thing*** in%%% this$$$ line### and&&& more***"]
+    found, kept = [], []
+    for i, own in enumerate(goods[:200]):
+        place = len(own) // 2
+        own = [*own[:place], bads[i % 2], *own[place:]]
+        good, _ = model.chain.marginals(Lines.of(["\n".join(own)]))
+        found.append(good[place] < 0.5)
+        kept.append(np.delete(good, place).mean() > 0.5)
+    assert np.mean(found) > 0.9 and np.mean(kept) > 0.95
+
+
+def test_sample_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(line_crf, "TRAINING_DOCS", 20)
+    monkeypatch.setattr(line_crf, "TRAINING_TOTAL", 10_000)
+    docs, labels = labelled(spark, "/root/testdata/sf0.01")
+    texts, good, counts = line_crf.training_sample(docs.unionAll(docs), labels, "doc_id", "text")
+    assert 0 < len(texts) <= 40 and sum(map(len, texts)) <= 20_000
+    assert len(set(texts)) >= 0.8 * len(texts) and sum(counts.values()) > 200
+    plan = line_crf.score_quality(docs, labels)._jdf.queryExecution().toString()
+    assert "Exchange" not in plan
+
+
+def test_scores_are_calibrated(spark):
+    """On unseen documents the mean score is the share of good ones."""
+    docs, labels = labelled(spark, "/root/testdata/sf0.1")
+    rows = line_crf.score_quality(docs, labels).where("held_out").join(
+        labels.where("quality is not null"), "doc_id"
+    ).select("score", "quality").collect()
+    scores, quality = (np.array([r[name] for r in rows], float) for name in ("score", "quality"))
+    assert abs(scores.mean() - quality.mean()) < 0.05
+
+
 @pytest.fixture(scope="module")
 def scored(spark):
     folder = "/root/testdata/sf0.1"
@@ -79,7 +131,7 @@ def test_held_out_accuracy(scored):
     area = (rank[good].sum() - good.sum() * (good.sum() + 1) / 2) / (good.sum() * (~good).sum())
     predicted = np.array([r["predicted"] == 1 for r in tested])
     print("area", area, "right", (predicted == good).mean(), "good kept", predicted[good].mean(), "bad", predicted[~good].mean(), len(good))
-    assert area > 0.9
+    assert area > 0.99
     assert (predicted == good).mean() > 0.9
 
 
