@@ -10,16 +10,13 @@ from pyspark.sql import functions as F
 from codeset.dictionary import Dictionary, known_language
 from codeset.functions.naming import content_key, suffix
 from codeset.functions.order import DEFAULT_SEED, shuffle_key, slice_of
+from codeset.operators.membership import with_membership
 from codeset.operators.ranking import first_n, slice_totals
 from codeset.operators.splits import USAGES, Quotas
 from codeset.session import land
 
 PENDING, EXTRACTED, DISCARDED = "PENDING", "EXTRACTED", "DISCARDED"
 
-# Content rows are matched by a broadcast of the chosen files' 8-byte hashes if
-# there are no more than this; the default quotas choose 1.9 million.
-MAX_BROADCAST_FILES = 4_000_000
-
 _GROUP = ["language", "usage"]
 
 
@@ -195,32 +192,19 @@ def chosen_content(
     chosen: DataFrame,
     content: DataFrame,
     keys: Sequence[str] = ("repository_dirname", "filename"),
-    max_broadcast: int = MAX_BROADCAST_FILES,
     same_content: bool = False,
 ) -> DataFrame:
     """Content rows of the chosen files, with the chosen files' columns.
 
-    The bytes are the bulk of the data, so unwanted rows are dropped before
-    they are shuffled, by a broadcast of the chosen keys' 8-byte hashes.  The
-    chosen files are counted first (give a stored table); of more than
-    ``max_broadcast`` files the contents are scanned once for each part of the
-    hashes.  With ``same_content`` the bytes must have the chosen
-    ``dedup_key``, as two repositories may share a directory name.
+    The bytes are the bulk of the data, so unwanted rows are dropped in their
+    only scan, by broadcast bitmaps of the chosen keys, and the rest are
+    joined with the chosen files (give a stored table).  With ``same_content``
+    the bytes must have the chosen ``dedup_key``, as two repositories may
+    share a directory name.
     """
     keys = list(keys)
-    hashed = F.xxhash64(*keys)
-    parts = max(1, -(-chosen.count() // max(1, max_broadcast)))
-    wanted = chosen.select(hashed.alias("_key"))
-    found = None
-    for part in range(parts):
-        inside = F.pmod("_key", F.lit(parts)) == part
-        rows = (
-            content.withColumn("_key", hashed)
-            .where(inside)
-            .join(F.broadcast(wanted.where(inside)), "_key", "left_semi")
-            .drop("_key")
-        )
-        found = rows if found is None else found.unionByName(rows)
+    rows = with_membership(content, keys, chosen)
+    found = rows.where("_member").drop("_member")
     extra = [c for c in content.columns if c not in chosen.columns]
     if same_content:
         found = found.withColumn("dedup_key", content_key("content"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codeset.dictionary import Dictionary, default_dictionary
-from codeset.functions.naming import content_key
+from codeset.functions.naming import basename, content_key, extension
 from codeset.functions.order import DEFAULT_SEED
 from codeset.functions.text import (
     Detector,
@@ -24,6 +24,7 @@ from codeset.operators.files import (
     resolve_language,
     surviving_files,
 )
+from codeset.operators.membership import with_membership
 from codeset.operators.quotas import (
     EXTRACTED,
     chosen_content,
@@ -220,17 +221,24 @@ def list_contents(
 ) -> DataFrame:
     """The listing of contents: keys of the files whose names count, landed.
 
-    Files of other repositories or without a language are dropped by name, so
-    their bytes are not hashed.
+    One scan drops files of other repositories and of names that no language
+    has, by bitmaps, and hashes the rest: bytes are never shuffled.  Their
+    narrow rows are then joined with the repositories' languages.
     """
-    languages = broadcast_if_small(repository_languages(repos))
-    named = resolve_language(
-        contents.join(languages, "repository_dirname"), settings.dictionary
-    ).where(F.col("language").isNotNull())
-    keyed = named.select(
+    spark, dictionary = contents.sparkSession, settings.dictionary
+    languages = repository_languages(repos)
+    rows = with_membership(contents, ["repository_dirname"], languages, name="_theirs")
+    for name, part, owners in (
+        ("_by_name", basename("filename"), dictionary.file_name_owners_df(spark)),
+        ("_by_ext", extension("filename"), dictionary.extension_owners_df(spark)),
+    ):
+        rows = with_membership(rows, [part], owners, ["value"], name)
+    keyed = rows.where("_theirs and (_by_name or _by_ext)").select(
         "repository_dirname", "filename", content_key("content").alias("dedup_key")
     )
-    return land(keyed, "file_keys")
+    keys = land(keyed, "content_keys").join(broadcast_if_small(languages), "repository_dirname")
+    named = resolve_language(keys, dictionary).where(F.col("language").isNotNull())
+    return land(named.select("repository_dirname", "filename", "dedup_key"), "file_keys")
 
 
 def build_dataset(

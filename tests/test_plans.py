@@ -13,6 +13,7 @@ from codeset.operators import quotas as quota_ops
 from codeset.operators import repositories as repo_ops
 from codeset.operators import splits as split_ops
 from codeset.operators.splits import Quotas
+from codeset.plans import dataset
 from codeset.session import broadcast_if_small, land
 
 
@@ -102,8 +103,7 @@ def test_bytes_are_decoded_once_and_filtered_before_the_shuffle(spark):
     assert ", content," not in below
     chosen = land(contents.limit(3).drop("content"), "chosen")
     text = plan(quota_ops.chosen_content(chosen, contents))
-    content_side = [l for l in text.splitlines() if "content" in l or "LeftSemi" in l]
-    assert any("LeftSemi" in l and "Broadcast" in l for l in content_side)
+    assert "bitmap_construct_agg" in text
 
 
 def test_reports_prune_the_bytes(listing):
@@ -145,20 +145,63 @@ def test_top_n_of_many_rows_is_cut_before_its_shuffle(listing):
     assert text.count("WindowGroupLimit") == 4
 
 
-def test_unwanted_bytes_are_dropped_before_the_shuffle(spark):
-    contents = land(
-        spark.range(50).selectExpr("'r' AS repository_dirname", "concat('f', id) AS filename", "cast('x' AS binary) AS content"),
+@pytest.fixture
+def no_automatic_broadcasts(spark):
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    yield
+    spark.conf.set(threshold, before)
+
+
+def written_contents(spark, n=50):
+    return land(
+        spark.range(n).selectExpr(
+            "concat('r', id % 5) AS repository_dirname", "concat('f', id, if(id % 2 = 0, '.py', '.xyz')) AS filename",
+            "cast(concat('x', id) AS binary) AS content",
+        ),
         "contents",
     )
-    chosen = land(contents.limit(5).drop("content"), "chosen")
-    for most in (0, 2, 100):
-        found = quota_ops.chosen_content(chosen, contents, max_broadcast=most)
+
+
+def test_unwanted_bytes_are_dropped_in_one_scan(spark, no_automatic_broadcasts):
+    """Bytes meet a filter of the bitmaps before they are shuffled, in one scan of the contents."""
+    contents = written_contents(spark)
+    for n in (0, 5, 40):
+        chosen = land(contents.limit(n).drop("content"), "chosen")
+        found = quota_ops.chosen_content(chosen, contents)
         lines = plan(found).splitlines()
-        semi = [i for i, line in enumerate(lines) if "LeftSemi" in line]
-        shuffled = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
-        assert semi and all("BroadcastHashJoin" in lines[i] for i in semi)
-        assert not shuffled or any(i < min(semi) for i in shuffled)
-        assert found.count() == 5
+        scans = [line for line in lines if "FileScan" in line and "content:binary" in line]
+        assert len(scans) == 1
+        scan = lines.index(scans[0])
+        member = max(i for i in range(scan) if "BroadcastHashJoin" in lines[i])
+        shuffled = [i for i in range(scan) if "Exchange hashpartitioning" in lines[i] and i > member]
+        assert not shuffled
+        assert found.count() == n
+
+
+def test_bytes_of_a_listing_are_never_shuffled(spark, dictionary, no_automatic_broadcasts, monkeypatch):
+    """No exchange lies above the column of bytes, whatever the number of repositories."""
+    plans = []
+
+    def remember(df, name):
+        plans.append(plan(df))
+        return land(df, name)
+
+    monkeypatch.setattr(dataset, "land", remember)
+    monkeypatch.setattr(dataset, "broadcast_if_small", lambda df: df)
+    contents = written_contents(spark)
+    repos = spark.createDataFrame(
+        [(f"r{i}", "Python") for i in range(3)], "repository_dirname string, repository_language string"
+    )
+    settings = dataset.Settings(repositories=5, quotas=Quotas(3, 1, 1))
+    listed = dataset.list_contents(repos, contents, settings)
+    assert listed.count() == sum(i % 5 < 3 and i % 2 == 0 for i in range(50))
+    reading = [text for text in plans if "content:binary" in text]
+    assert len(reading) == 1
+    above = reading[0][: reading[0].index("content:binary")]
+    assert "Exchange hashpartitioning(repository_dirname" not in above
+    assert above.count("SortMergeJoin") == 0
 
 
 def test_values_are_not_shuffled_to_find_quantiles(spark):

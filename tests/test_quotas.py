@@ -128,8 +128,7 @@ def test_report_and_totals(spark, dictionary):
     assert rows(ops.status_totals(files)) == [("EXTRACTED", 2), ("PENDING", 4)]
 
 
-@pytest.mark.parametrize("limit", [ops.MAX_BROADCAST_FILES, 0])
-def test_chosen_content(spark, limit):
+def test_chosen_content(spark):
     contents = spark.range(50).select(
         F.lit("r").alias("repository_dirname"),
         F.concat(F.lit("f"), "id").alias("filename"),
@@ -139,7 +138,7 @@ def test_chosen_content(spark, limit):
         [("r", "f3", "x"), ("r", "f7", "y"), ("r", "gone", "z")],
         "repository_dirname string, filename string, extract_to string",
     )
-    found = ops.chosen_content(chosen, contents, max_broadcast=limit)
+    found = ops.chosen_content(chosen, contents)
     assert rows(found, "extract_to", "content") == [
         ("x", bytearray(b"text 3")),
         ("y", bytearray(b"text 7")),
