@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from codeset.dictionary import Dictionary
 from codeset.functions.naming import basename
 from codeset.operators.evaluation import label_by_extension, read_report
 from codeset.session import small_frame
+from codeset.sources.records import read_records
 
 # The layout of a repository catalogue.
 CATALOG_HEADER = [
@@ -35,25 +35,18 @@ REPOSITORY_SCHEMA = "repository_name string, repository_language string"
 def read_repo_catalog(spark: SparkSession, path: str) -> DataFrame:
     """The four used columns of a catalogue CSV, all as text.
 
-    Quoted fields may hold line breaks, so a file cannot be cut into pieces:
-    land a large one once (``land``), or store the catalogue as many files.
+    Quoted fields may hold line breaks; a file of any size is read by as many
+    tasks as it has blocks.  The first line of each file is its header.
     """
-    schema = T.StructType(
-        [T.StructField(name, T.StringType()) for name in CATALOG_HEADER]
-    )
-    rows = spark.read.schema(schema).csv(
-        path,
-        header=True,
-        multiLine=True,
-        quote='"',
-        escape='"',
-        maxCharsPerColumn=MAX_FIELD,
-    )
+    schema = ", ".join(f"`{name}` STRING" for name in CATALOG_HEADER)
+    options = {"quote": '"', "escape": '"', "maxCharsPerColumn": str(MAX_FIELD)}
+    records = read_records(spark, path).where("block > 0 or line > 0")
+    rows = records.select(F.from_csv("record", schema, options).alias("row"))
     return rows.select(
-        F.col("Host Type").alias("host_type"),
-        F.col("Name with Owner").alias("name_with_owner"),
-        F.col("Fork").alias("fork"),
-        F.col("Language").alias("language"),
+        F.col("row.`Host Type`").alias("host_type"),
+        F.col("row.`Name with Owner`").alias("name_with_owner"),
+        F.col("row.`Fork`").alias("fork"),
+        F.col("row.`Language`").alias("language"),
     )
 
 

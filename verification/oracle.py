@@ -358,6 +358,7 @@ FILE_COLUMNS = (
 
 _SQL = {
     "read_repo_catalog": "SELECT host_type, name_with_owner, fork, language FROM catalog",
+    "csv_records": "SELECT doc_id, lang, md5(coalesce(text, '')) AS text_md5 FROM documents",
     "read_repo_list": "SELECT * FROM curated",
     "catalog_shrink": "SELECT repository_name, repository_language FROM shrunk",
     "catalog_alter": "SELECT * FROM altered_alone",

@@ -18,6 +18,7 @@ from codeset.plans import dataset
 from codeset.plans.dataset import unique_files, with_usage
 from codeset.dictionary import dict_conflicts as conflicts
 from codeset.session import land, new_path, tune
+from codeset.sources.records import read_records
 from codeset.sources import readers, writers
 from verification import views
 from verification.views import DICTIONARY, QUOTAS, SETTINGS
@@ -112,6 +113,19 @@ def read_repo_catalog(spark, sf_dir):
     return readers.read_repo_catalog(spark, path)
 
 
+@query
+def csv_records(spark, sf_dir):
+    """Documents in one CSV file, texts with line breaks and quotes; each record found and parsed."""
+    path = new_path(spark, "documents-csv")
+    rows = views.table(spark, sf_dir, "documents").select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text"))
+    rows.coalesce(1).write.csv(path, escape='"', quoteAll=True)
+    schema, options = "doc_id bigint, lang string, text string", {"escape": '"', "maxCharsPerColumn": "-1"}
+    records = read_records(spark, path).select(F.from_csv("record", schema, options).alias("row"))
+    return records.select(
+        "row.doc_id", "row.lang", F.md5(F.encode(F.coalesce("row.text", F.lit("")), "UTF-8")).alias("text_md5"),
+    )
+
+
 @query
 def read_repo_list(spark, sf_dir):
     """Write the curated list as CSV, then read it."""
