@@ -195,29 +195,49 @@ def certified_levels(
     return named.join(chosen, "_pool").select(stratum, "chosen")
 
 
-def with_verdict(
-    docs: DataFrame, labels: DataFrame, carried: list[str], rules: tuple[Rule, ...] = RULES,
-    risk: float = RISK, error: float = ERROR,
-    key: str = "doc_id", text: str = "text", stratum: str = "lang",
+def levelled_rows(
+    docs: DataFrame, carried: list[str], rules: tuple[Rule, ...], key: str, text: str, stratum: str
 ) -> DataFrame:
-    """The ``carried`` columns of each row with its measures, base_failed and kept.
-
-    Measured rows are landed once, so that each row has its own verdict
-    without a join by its key; the few certified levels are joined by stratum.
-    """
+    """The ``carried`` columns as ``_row``, with the measures and the level of each row."""
     source = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in carried)).alias("_row"), F.col(key).alias("_key"),
         F.coalesce(F.col(stratum), F.lit("")).alias("_stratum"), F.col(text).alias("_text"),
     )
-    measured = land(
-        with_measures(source, "_text").drop("_text").withColumn("_level", level_of(rules)), "measures"
-    )
-    known = labels.select(F.col(key).alias("_key"), "quality")
-    chosen = certified_levels(
-        measured, known, len(rules[0].cutoffs), risk, error, "_key", "_stratum"
-    )
+    return with_measures(source, "_text").drop("_text").withColumn("_level", level_of(rules))
+
+
+def with_kept(levelled: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Add ``kept``; the few certified levels, one per stratum, are joined."""
     over = F.coalesce(F.col("_level") <= F.col("chosen"), F.lit(False))
-    return measured.join(chosen, "_stratum", "left").withColumn("kept", ~F.col("base_failed") & ~over)
+    return levelled.join(chosen, "_stratum", "left").withColumn("kept", ~F.col("base_failed") & ~over)
+
+
+def measured_and_chosen(
+    docs: DataFrame, labels: DataFrame, rules: tuple[Rule, ...], risk: float, error: float,
+    key: str, text: str, stratum: str,
+) -> tuple[DataFrame, DataFrame]:
+    """(narrow measures of all rows, landed; the certified level of each stratum, landed)."""
+    measured = land(levelled_rows(docs, [key], rules, key, text, stratum), "measures")
+    known = labels.select(F.col(key).alias("_key"), "quality")
+    levels = len(rules[0].cutoffs)
+    chosen = certified_levels(measured, known, levels, risk, error, "_key", "_stratum")
+    return measured, land(chosen, "levels")
+
+
+def kept_rows(
+    docs: DataFrame, labels: DataFrame, rules: tuple[Rule, ...] = RULES,
+    risk: float = RISK, error: float = ERROR,
+    key: str = "doc_id", text: str = "text", stratum: str = "lang",
+) -> DataFrame:
+    """The rows that ``judge`` keeps, with the input's columns.
+
+    Each row has its own verdict, also where keys repeat or are null: after
+    the levels are certified, a second scan measures and filters the rows, so
+    their texts are neither shuffled nor written on the way.
+    """
+    _, chosen = measured_and_chosen(docs, labels, rules, risk, error, key, text, stratum)
+    rows = levelled_rows(docs, docs.columns, rules, key, text, stratum)
+    return with_kept(rows, chosen).where("kept").select("_row.*")
 
 
 def judge(
@@ -233,8 +253,8 @@ def judge(
     labels takes the lowest; repeated rows are judged each; other columns are
     left out.
     """
-    judged = with_verdict(docs, labels, [key], rules, risk, error, key, text, stratum)
-    return judged.select(
+    measured, chosen = measured_and_chosen(docs, labels, rules, risk, error, key, text, stratum)
+    return with_kept(measured, chosen).select(
         F.col("_row")[key].alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines",
         "n_repeat_words", "base_failed", "kept",
     )
