@@ -19,7 +19,7 @@ PII_KEY = "a key of the operator's choice"  # production takes it from a secret
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that pass the quality rules, each judged by its own text."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality_rules.with_verdict(docs, labels, docs.columns).where("kept").select("_row.*")
+    return quality_rules.kept_rows(docs, labels)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
