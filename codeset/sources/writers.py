@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from codeset.dictionary import Dictionary
+from codeset.functions.naming import extension
+from codeset.operators.splits import USAGES
 from codeset.sources.readers import latest_version, record_version
 
 ROWS_PER_FILE = 100_000
+PROMISES = ("empty", "not UTF-8", "of an unknown language", "of a wrong suffix")  # and not kept
 
 
 def write_stage(df: DataFrame, root: str, name: str) -> None:
@@ -32,20 +36,42 @@ def write_versioned(df: DataFrame, root: str, name: str) -> int:
     return version
 
 
-def write_dataset(
-    rows: DataFrame, path: str, partitions: int | None = None, spread: int = 16
-) -> None:
+def write_dataset(rows: DataFrame, path: str, dictionary: Dictionary | None = None) -> dict[str, int]:
     """Write usage, language, extract_to, text, split by usage and language.
 
-    Rows are spread by name inside a language: a language of a split is written
-    by up to ``spread`` tasks, and a small one does not end in many tiny files.
+    Rows are dealt by usage and language and then by size: adaptive execution
+    divides a large language among as many tasks as its bytes ask for, and
+    puts small ones together.  With a ``dictionary`` the rows are checked as
+    they are written, in the same scan: a row without text, whose text is not
+    UTF-8, of an unknown language or whose name lacks its language's suffix is
+    an error.  Returns the number of rows, and then also the rows of each
+    ``language/usage``.
     """
-    share = F.pmod(F.xxhash64("extract_to"), F.lit(spread))
-    keys = ["usage", "language", share]
-    spread = rows.repartition(*([partitions] if partitions else []), *keys)
-    spread.write.mode("overwrite").partitionBy("usage", "language").option(
-        "maxRecordsPerFile", ROWS_PER_FILE
-    ).parquet(path)
+    dealt = rows.hint("rebalance", F.col("usage"), F.col("language"))
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if dictionary is not None:
+        suffixes = dictionary.languages_df(rows.sparkSession).select("language", "primary_ext")
+        dealt = dealt.join(F.broadcast(suffixes), "language", "left")
+        known = F.col("primary_ext").isNotNull()
+        metrics += [
+            F.count_if(F.coalesce(F.col("text"), F.lit("")) == "").alias("empty"),
+            F.count_if(~F.is_valid_utf8("text")).alias("not UTF-8"),
+            F.count_if(~known).alias("of an unknown language"),
+            F.count_if(known & (extension("extract_to") != F.col("primary_ext"))).alias("of a wrong suffix"),
+            *(
+                F.count_if((F.col("language") == language) & (F.col("usage") == usage)).alias(f"{language}/{usage}")
+                for language in dictionary.languages for usage in USAGES
+            ),
+        ]
+    seen = Observation()
+    dealt.observe(seen, *metrics).select(rows.columns).write.mode("overwrite").partitionBy(
+        "usage", "language"
+    ).option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
+    counts = seen.get
+    broken = [f"{counts[name]} {name}" for name in PROMISES if counts.get(name)]
+    if broken:
+        raise ValueError(f"rows of {path} break the dataset's promises: {', '.join(broken)}")
+    return {name: n for name, n in counts.items() if name not in PROMISES}
 
 
 def write_training_subset(subset: DataFrame, root: str, n: int) -> str:

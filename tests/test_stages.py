@@ -56,6 +56,42 @@ def test_dataset_is_partitioned(spark, tmp_path):
     assert pruned.count() == len([i for i in range(80) if i % 12 == 0])
 
 
+def test_promises_are_checked_while_writing(spark, dictionary, tmp_path):
+    rows = spark.range(60).select(
+        F.when(F.col("id") % 4 == 0, "test").otherwise("train").alias("usage"),
+        F.when(F.col("id") % 3 == 0, "Python").otherwise("Go").alias("language"),
+        F.concat("id", F.when(F.col("id") % 3 == 0, ".py").otherwise(".go")).alias("extract_to"),
+        F.lit("text").alias("text"),
+    )
+    counts = writers.write_dataset(rows, str(tmp_path / "good"), dictionary)
+    assert counts["rows"] == 60 and counts["Python/test"] == 5 and counts["Go/train"] == 30
+    assert counts["C/valid"] == 0 and spark.read.parquet(str(tmp_path / "good")).count() == 60
+    changes = {
+        "1 empty": ("text", ""), "1 not UTF-8": ("text", F.expr("cast(X'ff' as string)")),
+        "1 of an unknown language": ("language", "Klingon"), "1 of a wrong suffix": ("extract_to", "7.c"),
+    }
+    for message, (column, value) in changes.items():
+        value = F.lit(value) if isinstance(value, str) else value
+        broken = rows.withColumn(column, F.when(F.col("extract_to") == "7.go", value).otherwise(F.col(column)))
+        with pytest.raises(ValueError, match=message):
+            writers.write_dataset(broken, str(tmp_path / "broken"), dictionary)
+
+
+def test_files_follow_the_size_of_a_language(spark, tmp_path):
+    """A large language is divided, small ones are not; no fixed number of tasks."""
+    rows = spark.range(40_000).select(
+        F.lit("train").alias("usage"), F.when(F.col("id") % 20 == 0, "Go").otherwise("C").alias("language"),
+        F.concat("id", F.lit(".c")).alias("extract_to"), F.repeat(F.sha2(F.col("id").cast("string"), 512), 4).alias("text"),
+    )
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "1m")
+    writers.write_dataset(rows, str(tmp_path / "sized"))
+    spark.conf.set(size, before)
+    files = {name: len(list((tmp_path / "sized" / "usage=train" / f"language={name}").glob("*.parquet"))) for name in ("C", "Go")}
+    assert files["C"] >= 6 and files["Go"] <= 2
+
+
 def test_training_subset_is_replaced(spark, tmp_path):
     for n in (3, 2):
         path = writers.write_training_subset(spark.range(n), str(tmp_path), 7)

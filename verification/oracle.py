@@ -483,6 +483,12 @@ _SQL = {
     "build_dataset": """
         SELECT usage, language, extract_to, n_chars FROM built_extracted
         WHERE status = 'EXTRACTED'""",
+    "checked_dataset": """
+        SELECT language, usage, count(*) AS n_files
+        FROM (SELECT CASE doc_id % 5 WHEN 0 THEN 'test' WHEN 1 THEN 'valid' ELSE 'train' END AS usage,
+            CASE lang WHEN 'en' THEN 'Python' WHEN 'de' THEN 'C' ELSE 'Go' END AS language
+          FROM documents WHERE text <> '')
+        GROUP BY ALL""",
     "unreachable_files": """
         SELECT repository_dirname, filename FROM docs
         WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",

@@ -17,7 +17,7 @@ from codeset.operators import splits as split_ops
 from codeset.plans import dataset
 from codeset.plans.dataset import unique_files, with_usage
 from codeset.dictionary import dict_conflicts as conflicts
-from codeset.session import land, new_path, tune
+from codeset.session import land, new_path, small_frame, tune
 from codeset.sources.records import read_records
 from codeset.sources import readers, writers
 from verification import views
@@ -473,6 +473,15 @@ def dataset_texts(spark, sf_dir):
     )
 
 
+@query
+def checked_dataset(spark, sf_dir):
+    """Rows per language and usage, counted while a checked dataset is written."""
+    texts = views.checkable_texts(spark, sf_dir)
+    counts = writers.write_dataset(texts, new_path(spark, "checked"), DICTIONARY)
+    rows = [(*name.rsplit("/", 1), n) for name, n in counts.items() if "/" in name and n]
+    return small_frame(spark, rows, "language string, usage string, n_files long")
+
+
 @query
 def build_dataset(spark, sf_dir):
     """From file bytes to the written texts, all steps chained."""

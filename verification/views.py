@@ -174,6 +174,16 @@ def legacy_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def checkable_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with text as rows of a dataset."""
+    return table(spark, sf_dir, "documents").where("text <> ''").selectExpr(
+        "CASE doc_id % 5 WHEN 0 THEN 'test' WHEN 1 THEN 'valid' ELSE 'train' END AS usage",
+        "CASE lang WHEN 'en' THEN 'Python' WHEN 'de' THEN 'C' ELSE 'Go' END AS language",
+        "concat('f', doc_id, CASE lang WHEN 'en' THEN '.py' WHEN 'de' THEN '.c' ELSE '.go' END) AS extract_to",
+        "text",
+    )
+
+
 def letters_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files that hold the Latin letters of a document, or nothing."""
     letters = F.regexp_replace("text", "[^A-Za-z]", "")
