@@ -11,7 +11,7 @@ from codeset.dictionary import Dictionary, known_language
 from codeset.functions.naming import content_key, suffix
 from codeset.functions.order import DEFAULT_SEED, shuffle_key, slice_of
 from codeset.operators.membership import with_membership
-from codeset.operators.ranking import first_n, slice_totals
+from codeset.operators.ranking import first_by_hash, slice_totals
 from codeset.operators.splits import USAGES, Quotas
 from codeset.session import land
 
@@ -236,6 +236,4 @@ def subset_training(
         .join(dictionary.small(languages), suffix("name") == F.col("_suffix"))
         .withColumn("_h", shuffle_key("name", seed=seed))
     )
-    return first_n(labelled, ["language"], ["_h", "name"], n).drop(
-        "_h", "_suffix", "rank"
-    )
+    return first_by_hash(labelled, ["language"], "_h", ["name"], n).drop("_h", "_suffix")

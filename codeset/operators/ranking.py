@@ -7,6 +7,8 @@ of the table, so its work is spread over several tasks first.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from codeset.session import land
 
 # Tasks a hot group is spread over before its final top-n.
 SPREAD = 64
+HASH_DIGITS = 4  # hex digits of a hash that name a slice
 _LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
@@ -79,6 +82,34 @@ def slice_totals(
     )
 
 
+def first_by_hash(
+    df: DataFrame, group: Sequence[str], hash_: str, order: Sequence[str | Column], n: int,
+    digits: int = HASH_DIGITS,
+) -> DataFrame:
+    """The first ``n`` rows of each group by a hex hash, then ``order``, for any n.
+
+    Counts per slice of the hash, landed, find the slice in which the n-th row
+    lies.  Slices below it are taken whole, and only the rows of that slice
+    are sorted: one of 16 ** ``digits`` parts of a group, whatever n is.  The
+    rows are scanned twice: give a stored table or a short plan.
+    """
+    sliced = df.withColumn("_slice", F.substring(hash_, 1, digits))
+    totals = slice_totals(sliced, group, ["_slice"])
+    cuts = totals.where((F.col("before") <= n) & (F.col("before") + F.col("in_slice") > n)).select(
+        *(F.col(c).alias(f"_{c}") for c in group), F.col("_slice").alias("_cut"), (n - F.col("before")).alias("_nth")
+    )
+    cuts = land(cuts, "hash_cuts")  # one row per group at most
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in group))
+    placed = sliced.join(cuts, same, "left").drop(*(f"_{c}" for c in group))
+    below = placed.where("_cut is null or _slice < _cut").select(df.columns)
+    inside = Window.partitionBy(*group).orderBy(hash_, *order)
+    at_cut = (
+        placed.where("_slice = _cut").withColumn("_place", F.row_number().over(inside))
+        .where("_place <= _nth").select(df.columns)
+    )
+    return below.unionByName(at_cut)
+
+
 def numbered(
     df: DataFrame,
     group: Sequence[str],

@@ -60,3 +60,24 @@ def test_slice_totals_of_values(spark):
     )
     found = ranking.slice_totals(df, ["g"], ["s"], F.col("v"))
     assert rows(found) == [("a", 1, 7, 0, 8), ("a", 3, 1, 7, 8), ("b", 2, 4, 0, 4)]
+
+
+@pytest.mark.parametrize("digits", [1, 4])
+@pytest.mark.parametrize("n", [0, 1, 7, 500, 5000])
+def test_first_by_hash(table, n, digits):
+    """Slices below the cut whole, the slice of the cut sorted."""
+    found = ranking.first_by_hash(table, ["g"], "h", ["id"], n, digits)
+    assert found.columns == table.columns
+    assert rows(found) == [row[:3] for row in plain(table, n)]
+
+
+def test_first_by_hash_sorts_one_slice(spark, monkeypatch):
+    """The window sees the rows of the slice that holds the cut alone."""
+    hot = spark.range(20_000).select(F.lit("g").alias("g"), "id", shuffle_key(F.col("id").cast("string")).alias("h"))
+    found = ranking.first_by_hash(hot, ["g"], "h", ["id"], 12_345, 2)
+    assert found.count() == 12_345
+    text = found._jdf.queryExecution().executedPlan().toString()
+    window = text[text.index("Window [row_number"):]
+    assert "_slice" in window[: window.index("Exchange")] or "_cut" in window
+    largest = hot.groupBy(F.substring("h", 1, 2)).count().agg(F.max("count")).first()[0]
+    assert largest < 200
