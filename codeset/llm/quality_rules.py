@@ -236,8 +236,12 @@ def kept_rows(
     their texts are neither shuffled nor written on the way.
     """
     _, chosen = measured_and_chosen(docs, labels, rules, risk, error, key, text, stratum)
-    rows = levelled_rows(docs, docs.columns, rules, key, text, stratum)
-    return with_kept(rows, chosen).where("kept").select("_row.*")
+    # A filter is not pushed below a column of row numbers, where the measures
+    # that it reads would be spelt out again and again.
+    rows = levelled_rows(docs, docs.columns, rules, key, text, stratum).withColumn(
+        "_number", F.monotonically_increasing_id()
+    )
+    return with_kept(rows, chosen).where("kept and _number >= 0").select("_row.*")
 
 
 def judge(
