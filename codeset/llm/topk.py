@@ -14,6 +14,7 @@ BLOCK_ROWS = 8192
 QUERIES_AT_ONCE = 256
 HEADS = 8  # vectors at the head of a posting list that seed the threshold
 SEED_TERMS = 4
+LARGEST = (1 << 63) - 1  # a score; larger ones are returned as this
 PROBE_STEPS = 4  # times that the rest of the terms is probed
 
 
@@ -80,6 +81,7 @@ class Shard:
         floors, essential = [], np.ones(queries.shape, bool)
         for row, (own, query) in enumerate(zip(own_ids, queries)):
             floor = self.threshold(query, own, bounds[row], k)
+            floor = None if floor is None else min(floor, LARGEST)
             floors.append(floor)
             if floor is not None:
                 order = np.argsort(bounds[row], kind="stable")
@@ -101,6 +103,7 @@ class Shard:
                 if floors[row] is not None:
                     keep = scores + bounds[row, rest].sum() >= floors[row]
                     live, scores = live[keep], scores[keep]
+            scores = np.minimum(np.maximum(scores, -LARGEST), LARGEST)
             best = np.lexsort((self.ids[live], -scores))[:k]
             yield from ((row, int(live[i]), int(scores[i])) for i in best)
 
@@ -109,7 +112,8 @@ def search_group(queries: pa.Table, candidates: pa.Table, k: int) -> pa.Table:
     """The best k of a shard for each query of a block.
 
     Doubles hold the products exactly while they stay below 2^53; larger
-    ones are multiplied as Python integers.
+    ones are multiplied as Python integers.  Scores beyond 63 bits count as
+    the largest or smallest ones of 63 bits.
     """
     tables = (queries, candidates)
     width = max(

@@ -64,6 +64,16 @@ def test_large_components(spark):
     assert run(spark, rows, 10, 5) == brute(rows, 10, 5)
 
 
+def test_scores_beyond_a_long(spark):
+    """They count as the largest ones, equal to each other, also in several shards."""
+    big, top = 2.0**25, (1 << 63) - 1
+    rows = [(0, [big, big]), (1, [big, 2 * big]), (2, [3 * big, big]), (3, [-big, -big]), (4, [1.0, 1.0])]
+    found = run(spark, rows, 10, 5)
+    assert [(q, v, s) for q, _, v, s in found] == [
+        (0, 1, top), (0, 2, top), (0, 4, 2 * (1 << 33) * 256), (0, 3, -top)
+    ]
+
+
 @pytest.mark.parametrize("scale", ["0.001", "0.01"])
 def test_query_equals_sql(spark, scale):
     sf_dir = f"/root/testdata/sf{scale}"
