@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +30,7 @@ CATALOG_HEADER = [
     "SourceRank", "Display Name", "SCM type", "Pull requests enabled",
     "Logo URL", "Keywords",
 ]
+_SCHEME = re.compile("^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?")  # and authority
 MAX_FIELD = 10 * 1024 * 1024  # characters of one CSV field
 
 REPOSITORY_SCHEMA = "repository_name string, repository_language string"
@@ -104,15 +108,15 @@ def read_file_listings(spark: SparkSession, path: str) -> DataFrame:
 def read_contents(spark: SparkSession, root: str) -> DataFrame:
     """Bytes of the files under ``root/<repository_dirname>/<filename>``.
 
-    Paths are cut behind the root as the file system writes it, whatever
-    folders of its name lie above or below.
+    ``root`` is a URI or an absolute path; a relative one is taken from the
+    working folder.  Paths are cut behind it, whatever folders of its name lie
+    above or below.
     """
-    jvm = spark._jvm.org.apache.hadoop.fs
-    path = jvm.Path(root)
-    system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    begin = len(system.makeQualified(path).toString().rstrip("/")) + 2
-    files = spark.read.format("binaryFile").load(root, recursiveFileLookup=True)
-    return files.select(F.expr(f"substr(path, {begin})").alias("_tail"), "content").select(
+    located = root if _SCHEME.match(root) else os.path.abspath(root)
+    begin = len(re.sub("/+", "/", _SCHEME.sub("", located)).rstrip("/")) + 2
+    files = spark.read.format("binaryFile").load(located, recursiveFileLookup=True)
+    tail = F.expr(f"substr(regexp_replace(path, '{_SCHEME.pattern}', ''), {begin})")
+    return files.select(tail.alias("_tail"), "content").select(
         F.substring_index("_tail", "/", 1).alias("repository_dirname"),
         F.expr("substr(_tail, instr(_tail, '/') + 1)").alias("filename"),
         "content",
