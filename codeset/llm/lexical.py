@@ -124,11 +124,15 @@ INDEX_SCHEMA = (
 
 
 def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of rows that come by norm; a block is closed before it grows large."""
+    """Blocks of rows that come by norm; a block is closed before it grows large.
+
+    A document's terms come as lines of one string, which is smaller to move
+    than an array.
+    """
     block, stratum = Block(), None
     for batch in batches:
         ids, norms = batch.column("id").to_pylist(), batch.column("m").to_pylist()
-        terms = batch.column("terms")
+        terms = pc.split_pattern(batch.column("terms"), "\n")
         tfs = batch.column("tfs").flatten().to_numpy()
         cuts = terms.offsets.to_numpy() - terms.offsets[0].as_py()
         names = terms.flatten()
@@ -172,7 +176,7 @@ def build(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Index:
     part = F.pmod(F.xxhash64("id", "n"), F.coalesce("_parts", F.lit(1)))
     dealt = (
         normed.join(F.broadcast(large), "m", "left")
-        .select("id", "m", "terms", "tfs", part.alias("_part"))
+        .select("id", "m", F.array_join("terms", "\n").alias("terms"), "tfs", part.alias("_part"))
         .repartition("m", "_part").sortWithinPartitions("m", "_part")
         .select("id", "m", "terms", "tfs")
     )
