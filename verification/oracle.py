@@ -246,6 +246,26 @@ CTES = {
           CASE WHEN doc_id % 7 = 0 THEN size ELSE length(text) END AS n_chars
         FROM mixed""",
     **_chain("built_", "built", QUOTAS),
+    # the same with whole texts in the single-byte files, where Latin-1 has their characters
+    "whole_bytes": r"""
+        SELECT * EXCLUDE (ok), octet_length(content) AS size
+        FROM (SELECT *, CASE WHEN doc_id % 11 = 0 THEN encode(text) || '\x00\xFF'::BLOB
+            WHEN single
+            THEN unhex(array_to_string(
+              [format('{:02x}', unicode(c)) FOR c IN string_split(text, '')], '')) || '\xFF'::BLOB
+            ELSE encode(text) END AS content
+          FROM (SELECT *, doc_id % 7 = 0
+              AND NOT regexp_matches(text, '[^\x00-\x7F\x{A0}-\x{FF}]') AS single FROM docs))""",
+    "whole": r"""
+        SELECT * EXCLUDE (content, text),
+          sha1(encode('blob ' || size) || '\x00'::BLOB || content) AS dedup_key,
+          CASE WHEN doc_id % 11 = 0 THEN false WHEN NOT single THEN true
+            ELSE NOT contains(text, chr(0))
+              AND length(regexp_replace(text,
+                '[^\x00-\x08\x0E-\x1A\x1C-\x1F\x7F]', '', 'g')) <= 0.02 * size END AS ok,
+          CASE WHEN single THEN size ELSE length(text) END AS n_chars
+        FROM whole_bytes""",
+    **_chain("whole_", "whole", QUOTAS),
     # every text as it is, and with another one under the same name
     "text_files": "SELECT * EXCLUDE (ok), true AS ok FROM files",
     **_chain("text_", "text_files", QUOTAS),
@@ -501,7 +521,7 @@ _SQL = {
         QUALIFY row_number() OVER (PARTITION BY language
             ORDER BY md5('0:' || extract_to), extract_to) <= {views.SUBSET}""",
     "subset_texts": f"""
-        SELECT extract_to AS name, language, n_chars FROM built_extracted
+        SELECT extract_to AS name, language, n_chars FROM whole_extracted
         WHERE status = 'EXTRACTED' AND usage = 'train'
         QUALIFY row_number() OVER (PARTITION BY language
             ORDER BY md5('0:' || extract_to), extract_to) <= {views.SUBSET}""",

@@ -615,7 +615,7 @@ def subset_texts(spark, sf_dir):
     repos = views.documents(spark, sf_dir).select(
         "repository_dirname", "repository_language"
     )
-    _, texts = dataset.build_dataset(repos, views.mixed_bytes(spark, sf_dir), SETTINGS)
+    _, texts = dataset.build_dataset(repos, views.whole_bytes(spark, sf_dir), SETTINGS)
     root = new_path(spark, "dataset")
     writers.write_dataset(texts, f"{root}/files")
     subset = dataset.subset_texts(

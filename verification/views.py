@@ -137,6 +137,21 @@ def mixed_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def whole_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with their bytes, each with its whole text: UTF-8, binary and single-byte ones.
+
+    Texts with characters that Latin-1 lacks, or with its control characters, stay UTF-8.
+    """
+    return documents(spark, sf_dir).selectExpr(
+        "repository_dirname",
+        "filename",
+        """CASE WHEN doc_id % 11 = 0 THEN concat(encode(text, 'UTF-8'), X'00FF')
+                WHEN doc_id % 7 = 0 AND NOT text RLIKE '[^\\\\x00-\\\\x7F\\\\xA0-\\\\xFF]'
+                THEN concat(encode(text, 'ISO-8859-1'), X'FF')
+                ELSE encode(text, 'UTF-8') END AS content""",
+    )
+
+
 # The letters of English by how common they are, and letters for them in files
 # of an encoding: (encoding, letters).  The first of equal encodings is found.
 COMMON_LETTERS = "etaoinshrdlcumwfgypbvkjxqz"
