@@ -1,12 +1,14 @@
 """Records of CSV files cut anywhere, against the reader that takes a file whole."""
 
 import csv
+import hashlib
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from codeset.sources import readers, records
+from verification import queries
 
 SCHEMA = "a string, b string, c string"
 
@@ -80,3 +82,16 @@ def test_blank_lines_and_open_quotes(spark, tmp_path, monkeypatch):
         records.read_records(spark, str(tmp_path / "open.csv"))
     (tmp_path / "empty.csv").write_text("")
     assert records.read_records(spark, str(tmp_path / "empty.csv")).count() == 0
+
+
+def test_query_writes_and_reads_by_many_tasks(spark, tmp_path, small_blocks, monkeypatch):
+    rows = [(i, f'text "{i}"\nof two lines, {"x" * (i % 9)}.', "en") for i in range(300)] + [(None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    docs.repartition(6).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(queries, "new_path", lambda spark, name: f"{tmp_path}/{name}")
+    small_blocks(4000)
+    found = queries.QUERIES["csv_records"](spark, str(tmp_path)).collect()
+    want = [(i, lang, hashlib.md5((text or "").encode()).hexdigest()) for i, text, lang in rows]
+    assert sorted(map(tuple, found), key=repr) == sorted(want, key=repr)
+    files = list((tmp_path / "documents-csv").glob("part-*.csv"))
+    assert len(files) >= 6 and max(f.stat().st_size for f in files) < sum(f.stat().st_size for f in files) / 3

@@ -115,10 +115,10 @@ def read_repo_catalog(spark, sf_dir):
 
 @query
 def csv_records(spark, sf_dir):
-    """Documents in one CSV file, texts with line breaks and quotes; each record found and parsed."""
+    """Documents in CSV files, texts with line breaks and quotes; each record found and parsed."""
     path = new_path(spark, "documents-csv")
     rows = views.table(spark, sf_dir, "documents").select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text"))
-    rows.coalesce(1).write.csv(path, escape='"', quoteAll=True)
+    rows.write.csv(path, escape='"', quoteAll=True)
     schema, options = "doc_id bigint, lang string, text string", {"escape": '"', "maxCharsPerColumn": "-1"}
     records = read_records(spark, path).select(F.from_csv("record", schema, options).alias("row"))
     return records.select(
