@@ -157,3 +157,41 @@ def test_topics_are_learnt_beside_the_language(spark):
         of[row["topic"]][row["lang"], row["truth"]] += 1
     pure = sum(max(c.values()) for c in of.values())
     assert pure > 0.9 * len(rows)
+
+
+def test_topics_are_learnt_from_all_texts(spark):
+    """More texts than a sample would hold, and long ones: means and centres against plain loops."""
+    rng = np.random.default_rng(5)
+    words = np.array([f"word{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}" for i in range(60)])
+    rows = [
+        (i, " ".join(rng.choice(words[i % 3 * 15 : i % 3 * 15 + 30], 12)), ("en", "de", None)[i % 7 % 3]) for i in range(2600)
+    ]
+    rows += [(2600 + i, f"long{'abc'[i]} " * 4000, "en") for i in range(3)] + [(2603, None, "en"), (2604, "", "en"), (2605, "rare words", "xx")]
+    rows += rows[:50]  # a text that a language has again counts once
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = topics.learn(docs, 4, "text", "lang")
+    order = {(r["l"], r["t"]): r["o"] for r in docs.selectExpr(
+        "coalesce(lang, '') AS l", "coalesce(text, '') AS t", "xxhash64(coalesce(lang, ''), coalesce(text, '')) AS o"
+    ).collect()}
+    known = sorted(order, key=order.get)
+    langs, shares = [lang for lang, _ in known], topics.word_shares(pa.array([text for _, text in known]))
+    assert len(known) > 2500
+    assert set(model.means) == {None, "", "de", "en"}
+    assert np.allclose(model.means[None], shares.mean(0), atol=1e-9)
+    for lang in ("", "de", "en"):
+        assert np.allclose(model.means[lang], shares[[x == lang for x in langs]].mean(0), atol=1e-9)
+    rest = model.rest(shares, langs)
+    units = np.rint(rest / np.linalg.norm(rest, axis=1, keepdims=True) * topics.STEPS)
+    like = lambda centres: np.round(units @ centres.T / topics.STEPS, 9)
+    want = units[:1] / topics.STEPS
+    while len(want) < 4:
+        far = int(like(want).max(1).argmin())
+        want = np.concatenate([want, units[far : far + 1] / topics.STEPS])
+    for _ in range(topics.ROUNDS):
+        of = like(want).argmax(1)
+        for topic in set(of):
+            sums = units[of == topic].sum(0)
+            want[topic] = sums / np.linalg.norm(sums)
+    assert np.allclose(model.centres, want, atol=1e-7)
+    again = topics.learn(docs.repartition(7), 4, "text", "lang")
+    assert np.array_equal(again.centres, model.centres)
