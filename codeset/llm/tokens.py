@@ -63,7 +63,9 @@ class Encoder:
     patterns never match across it, nor from a letter to a sign, so the ids
     of a text are those of its chunks in order.  Only chunks not seen before
     reach the tokenizer; plain ones go to its merges at once, as normaliser
-    and patterns would only put them into lower case.
+    and patterns would only put them into lower case.  They are remembered in
+    Arrow and numpy arrays, which take a quarter of a dictionary's memory: a
+    worker keeps them while it waits for its next task.
     """
 
     def __init__(self, path: str):
@@ -73,7 +75,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.merges = self.tokenizer.model
         self.letters = byte_letters()
-        self.slots: dict[str, int] = {}
+        self.known = pa.array([], pa.large_string())  # a chunk's place is its slot
         self.flat = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 16, np.int64)
         self.lengths = np.zeros(1 << 16, np.int64)
@@ -95,7 +97,7 @@ class Encoder:
     def add(self, chunks: list[str]) -> None:
         ids = [self.ids_of(chunk) for chunk in chunks]
         sizes = np.array([len(x) for x in ids], np.int64)
-        first, total = len(self.slots), int(sizes.sum())
+        first, total = len(self.known), int(sizes.sum())
         while len(self.starts) < first + len(chunks):
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
             self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
@@ -107,7 +109,6 @@ class Encoder:
             (i for x in ids for i in x), np.uint32, total
         )
         self.used += total
-        self.slots.update(zip(chunks, range(first, first + len(chunks))))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, where each text's ids begin and the last ones end).
@@ -118,11 +119,13 @@ class Encoder:
         texts = pc.replace_substring_regex(texts, "([A-Za-z])([.,])", r"\1 \2")
         words = pc.split_pattern(texts, " ")
         coded = words.flatten().dictionary_encode()
-        chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        used, remembers = self.used, len(self.slots) < MAX_CHUNKS
-        missing = [chunk for chunk in chunks if chunk not in self.slots]
-        self.add(missing)
-        slots = np.fromiter(map(self.slots.__getitem__, chunks), np.int64, len(chunks))
+        chunks = coded.dictionary.cast(pa.large_string())
+        used, remembers = self.used, len(self.known) < MAX_CHUNKS
+        found = pc.index_in(chunks, value_set=self.known)
+        new = chunks.filter(found.is_null())
+        self.add(new.to_pylist())
+        slots = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        slots[slots < 0] = len(self.known) + np.arange(len(new))
         each = slots[coded.indices.to_numpy(zero_copy_only=False)]
         sizes = self.lengths[each]
         ids = self.flat[positions(self.starts[each], sizes)]
@@ -130,8 +133,8 @@ class Encoder:
         bounds = words.offsets.to_numpy().astype(np.int64)
         cuts = ends[bounds - bounds[0]]
         ids = np.insert(ids, cuts[1:], END_ID)
-        if not remembers:
+        if remembers:
+            self.known = pa.concat_arrays([self.known, new])
+        else:
             self.used = used
-            for chunk in missing:
-                del self.slots[chunk]
         return ids.astype("<u4"), cuts + np.arange(len(cuts))

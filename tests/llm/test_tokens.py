@@ -1,6 +1,9 @@
 """Token ids, files and packing against the tokenizers library."""
 
+import os
 import random
+import subprocess
+import sys
 import zlib
 from collections import defaultdict
 
@@ -9,7 +12,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from codeset.llm import bitfile, cutting_stock, packing, token_files
+from codeset.llm import bitfile, cutting_stock, packing, token_files, tokens
 from codeset.llm.tokens import encoder, vocabulary_path
 
 PIECES = [
@@ -37,6 +40,56 @@ def test_encoder_equals_library(library, texts):
         assert ids[bounds[i] : bounds[i + 1]].tolist() == ids_of(library, text)
 
 
+def test_encoder_forgets(library, monkeypatch):
+    """Ids are the same where chunks are no longer remembered, also as large strings."""
+    monkeypatch.setattr(tokens, "MAX_CHUNKS", 40)
+    random.seed(4)
+    coder = tokens.Encoder(vocabulary_path())
+    for kind in [pa.string(), pa.large_string()] * 4:
+        made = ["".join(random.choices(PIECES, k=random.randint(0, 30))) for _ in range(20)] + [None]
+        ids, bounds = coder.encode(pa.array(made, kind))
+        for i, text in enumerate(made):
+            assert ids[bounds[i] : bounds[i + 1]].tolist() == ids_of(library, text)
+    assert 40 <= len(coder.known) < 400
+
+
+WAITING = """
+import re
+import numpy as np, pyarrow as pa
+from codeset.llm.arrow import by_bytes
+from codeset.llm.tokens import encoder, vocabulary_path
+
+def used():
+    sizes = re.findall(r"Pss_Anon: +([0-9]+)", open("/proc/self/smaps_rollup").read())
+    return int(sizes[0]) / 1024
+
+def batches():
+    rng = np.random.default_rng(5)
+    for _ in range(4):
+        yield pa.RecordBatch.from_pydict({"text": [
+            " ".join(f"x{n}" for n in rng.integers(0, 500_000, 1000).tolist()) for _ in range(1500)
+        ]})
+
+def task():
+    for batch in by_bytes(batches(), "text"):
+        encoder(vocabulary_path()).encode(batch.column("text"))
+
+encoder(vocabulary_path()).encode(pa.array(["a b"]))
+before = used()
+task()
+print(used() - before)
+"""
+
+
+def test_waiting_worker_is_small():
+    """After a task a worker keeps its chunks, but not the memory of its batches."""
+    if not os.path.exists("/proc/self/smaps_rollup"):
+        pytest.skip("memory can't be read here")
+    said = subprocess.run([sys.executable, "-c", WAITING], capture_output=True, text=True, check=True,
+                          env=os.environ | {"PYTHONPATH": os.pathsep.join(sys.path)})
+    assert float(said.stdout) < 100  # MB
+
+
 @pytest.mark.parametrize("width", [1, 5, 8, 11, 16, 17, 32])
 def test_files_round_trip(tmp_path, width):
     rng = np.random.default_rng(width)
